@@ -80,13 +80,20 @@ def recall(truth: DataFrame, redacted: DataFrame, key: str, text: str) -> DataFr
     ``truth`` has the columns (key, category, value, sensitive). Sensitive values
     should be gone (recall), others should still be there (precision).
     """
-    joined = truth.join(redacted.select(key, F.col(text).alias("masked_text")), key)
+    # Equal rows are counted first, so copies of a record do not multiply in the join.
+    weighted = truth.groupBy(key, "category", "value", "sensitive").agg(F.count("*").alias("n"))
+    texts = redacted.select(key, F.col(text).alias("masked_text")).distinct()
+    joined = weighted.join(texts, key)
     kept = F.contains("masked_text", "value")
+
+    def total(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(0))
+
     counted = joined.groupBy("category").agg(
-        F.count_if(F.col("sensitive")).alias("sensitive_values"),
-        F.count_if(F.col("sensitive") & ~kept).alias("masked_values"),
-        F.count_if(~F.col("sensitive")).alias("harmless_values"),
-        F.count_if(~F.col("sensitive") & kept).alias("kept_values"))
+        total(F.col("sensitive")).alias("sensitive_values"),
+        total(F.col("sensitive") & ~kept).alias("masked_values"),
+        total(~F.col("sensitive")).alias("harmless_values"),
+        total(~F.col("sensitive") & kept).alias("kept_values"))
     return counted.select(
         "*", F.round(F.try_divide("masked_values", "sensitive_values"), 4).alias("recall"),
         F.round(F.try_divide("kept_values", "harmless_values"), 4).alias("kept_share"))

@@ -58,8 +58,9 @@ def annotations_by_target(annotations: DataFrame, max_list: int = MAX_LIST) -> D
     if parts is None:
         rows = rows.withColumn("part", F.lit(0))
     else:
-        rows = rows.join(parts, "target_id", "left").withColumn(
-            "part", _part(F.col("spread"), "parts"))
+        same = rows["target_id"].eqNullSafe(parts["target_id"])  # null is a group too
+        rows = rows.join(parts, same, "left").select(
+            rows["target_id"], "annotation", _part(F.col("spread"), "parts").alias("part"))
     return rows.groupBy("target_id", "part").agg(_listed("annotation").alias("annotations"))
 
 
