@@ -173,19 +173,19 @@ def trace_unified_tags(spans: DataFrame, annotations: DataFrame,
     started = joined.withColumn("per_row", per_row).withColumn(
         "copy_start", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1, F.col("per_row"))))
     repeated = F.least(F.col("per_row"), copies - F.col("copy_start")).cast("int")
-    start, end = (F.timestamp_micros(F.floor(F.col(c) / 1000).cast("long"))
-                  for c in ("first_start", "last_end"))
+    start, end = _timestamp("first_start"), _timestamp("last_end")
     return started.select(
         *keys, start.alias("request_time"), (end - start).alias("execution_duration"),
         F.sort_array(F.flatten(F.array_repeat("items", repeated)))["item"].alias("spans"),
         "tags", "assessments", "part", "copy_start")
 
 
-def _timed_span_item(spans: DataFrame) -> Column:
-    def timed(name: str) -> Column:
-        return F.timestamp_micros(F.floor(F.col(name) / 1000).cast("long"))
+def _timestamp(nanos: str) -> Column:
+    return F.timestamp_micros(F.call_function("div", F.col(nanos), F.lit(1000)))
+
 
-    fields = [timed(f).alias(f.removesuffix("_unix_nano")) if f.endswith("_unix_nano")
+def _timed_span_item(spans: DataFrame) -> Column:
+    fields = [_timestamp(f).alias(f.removesuffix("_unix_nano")) if f.endswith("_unix_nano")
               else _orderable(spans, f) for f in SPAN_FIELDS]
     return F.struct(F.struct("start_time_unix_nano", "span_id").alias("position"),
                     F.struct(*fields).alias("item"))
