@@ -17,12 +17,20 @@ _STRING_LITERAL = r'"(?:[^"\\]++|\\.)*+"(?:\s*:)?'
 
 
 def _mask_literals(json: Column, policy: Policy) -> Column:
-    """Mask the string values of a JSON text at any depth; keys end in a colon and stay."""
+    """Mask the string values of a JSON text at any depth; keys end in a colon and stay.
+
+    The built-in patterns match neither quotes nor backslashes, so a value without escapes is
+    masked as it stands. Others are decoded first and encoded again.
+    """
     def change(literal: Column) -> Column:
         decoded = F.from_json(F.concat(F.lit("["), literal, F.lit("]")), "array<string>")[0]
         encoded = F.to_json(F.array(bind(decoded, lambda t: mask_text(t, policy))))
-        return F.when(F.endswith(literal, F.lit(":")), literal).otherwise(
-            encoded.substr(F.lit(2), F.length(encoded) - 2))
+        recoded = encoded.substr(F.lit(2), F.length(encoded) - 2)
+        kept = F.when(F.endswith(literal, F.lit(":")), literal)
+        if policy.custom_patterns:
+            return kept.otherwise(recoded)
+        return kept.when(F.contains(literal, F.lit("\\")), recoded).otherwise(
+            mask_text(literal, policy))
     return replace_each(json, _STRING_LITERAL, change)
 
 
@@ -68,7 +76,14 @@ def needs_masking(json: Column, policy: Policy) -> Column:
 
 def mask_variant_to_text(value: Column, text: Column, policy: Policy) -> Column:
     """Masked text of a variant; ``text`` is its plain cast. Most rows have no hit and stop there."""
-    return F.when(needs_masking(text, policy), mask_variant(value, policy).cast("string")).otherwise(text)
+    if policy.allowlisted_keys:
+        masked = mask_variant(value, policy).cast("string")
+    else:
+        kind = F.schema_of_variant(value)
+        masked = (F.when(kind == "STRING", mask_text(text, policy))
+                  .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"),
+                        _mask_literals(text, policy)).otherwise(text))
+    return F.when(needs_masking(text, policy), masked).otherwise(text)
 
 
 def mask_json_text(text: Column, policy: Policy) -> Column:
@@ -124,8 +139,9 @@ def _holds_text(data_type: T.DataType) -> bool:
 
 
 def mask_array_to_text(value: Column, text: Column, data_type: T.DataType, policy: Policy) -> Column:
-    """Mask an array element by element and write it as JSON; ``text`` is its plain form."""
+    """Mask the string values in an array and write it as JSON; ``text`` is its plain form."""
     if policy.events_as == "cast":
         return mask_text(text, policy)
-    return F.when(needs_masking(text, policy),
-                  F.to_json(mask_typed(value, data_type, policy))).otherwise(text)
+    masked = (F.to_json(mask_typed(value, data_type, policy)) if policy.allowlisted_keys
+              else _mask_literals(text, policy))
+    return F.when(needs_masking(text, policy), masked).otherwise(text)

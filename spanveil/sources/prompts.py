@@ -5,7 +5,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import SPANS
-from ..shared import stored
 
 # Span name, purpose, and the attributes of the resource.
 SPAN_NAME = "pii-test-interaction"
@@ -17,21 +16,22 @@ def read_prompts(spark: SparkSession, path: str) -> DataFrame:
     """Read JSON lines {prompt, response} with the file and the 1-based line number in it.
 
     Files are read in blocks by many tasks. A line number is the position in the block plus
-    the lines of all earlier blocks of the file; the table of blocks has one row per block.
+    the lines of all earlier blocks of the file. Both are taken in one query, so they rest on
+    the same blocks; lines move once, by block.
     """
     lines = spark.read.schema("prompt string, response string").json(path).select(
         "prompt", "response", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"))
+    in_block = Window.partitionBy("file", "block").orderBy("position")
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)
-    blocks = stored(lines.groupBy("file", "block").agg(
-        F.count("*").alias("lines"), F.min("position").alias("first")).select(
-        "file", "block", "first",
-        F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before")))
-    return lines.join(blocks, ["file", "block"]).select(
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("lines")).select(
+        "file", "block", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"))
+    numbered = lines.withColumn("in_block", F.row_number().over(in_block))
+    return numbered.join(blocks, ["file", "block"]).select(
         "prompt", "response", "file",
-        (F.col("before") + F.col("position") - F.col("first") + 1).cast("int").alias("line_number"))
+        (F.col("before") + F.col("in_block")).cast("int").alias("line_number"))
 
 
 def prompts_to_spans(records: DataFrame, key: Column, time: Column, service: str = "generator",
