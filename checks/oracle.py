@@ -313,6 +313,10 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(event_id AS VARCHAR) AS span_id, event_id % 7 = 0 AS no_resource, "
         f"{_resource(chr(39) + '[EMAIL]' + chr(39))} AS resource_attributes, "
         f"{_RESOURCE_DROPPED} AS resource_dropped FROM events"),
+    "mask_resource_variant": (
+        "SELECT CAST(event_id AS VARCHAR) AS span_id, event_id % 7 = 0 AS no_resource, "
+        f"{_resource(chr(39) + '[EMAIL]' + chr(39))} AS resource_attributes, "
+        f"{_RESOURCE_DROPPED} AS resource_dropped FROM events"),
     "mask_json_strings": (
         "SELECT c_custkey, '{\"id\":' || c_custkey || ',\"mail\":\"[EMAIL]\",\"nested\":{\"note\":\"line one\\n[PHONE]\"}}' "
         "AS json FROM customer"),

@@ -24,7 +24,7 @@ from spanveil.shared import shared_folder
 from spanveil.sources.prompts import prompts_to_spans, read_prompts
 from spanveil.sources.samples import (annotations_from_labels, logs_from_documents,
                                       notes_from_orders, spans_from_events, tags_from_labels)
-from spanveil.sources.tables import check_sources
+from spanveil.sources.tables import check_sources, spread
 from spanveil.streaming.pipeline import full_refresh, read_redacted, run
 
 DEFAULT = Policy()
@@ -38,7 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def _spans(spark, folder):
@@ -111,7 +111,7 @@ def _digit_model():
 
 def masked_by_model(spark, folder):
     return _table(spark, folder, "documents").select(
-        "doc_id", model_column(F.col("text"), _digit_model, is_json=False).alias("text"))
+        "doc_id", model_column(F.col("text"), _digit_model).alias("text"))
 
 
 # --- nested values
@@ -140,6 +140,15 @@ def mask_resource(spark, folder):
         F.col("resource.dropped_attributes_count").alias("resource_dropped"))
 
 
+def mask_resource_variant(spark, folder):
+    """A resource that arrives as one VARIANT."""
+    spans = _spans(spark, folder).withColumn("resource", F.parse_json(F.to_json("resource")))
+    return redact_spans(spans, DEFAULT).select(
+        "span_id", F.col("resource").isNull().alias("no_resource"),
+        F.col("resource.attributes").alias("resource_attributes"),
+        F.col("resource.dropped_attributes_count").alias("resource_dropped"))
+
+
 def mask_json_strings(spark, folder):
     """Attributes that arrive as JSON text instead of VARIANT."""
     text = F.to_json(F.struct(F.col("c_custkey").alias("id"), F.concat(
@@ -423,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "mask_events": mask_events,
     "mask_events_cast": mask_events_cast,
     "mask_resource": mask_resource,
+    "mask_resource_variant": mask_resource_variant,
     "mask_json_strings": mask_json_strings,
     "redacted_spans": redacted_spans,
     "redacted_logs": redacted_logs,

@@ -82,25 +82,37 @@ _CITY_WORD = r"\p{Lu}[\p{L}\p{M}'-]*\.?"
 _CITY_STATE = rf",? +{_CITY_WORD}(?: {_CITY_WORD}){{0,3}},? +[A-Z]{{2}}\b"
 _ZIP = r" +\d{5}(?:-\d{4})?(?!\d)"
 _DIRECTION = r"(?: (?:NE|NW|SE|SW|N|S|E|W)\b)?"
-_UNIT = rf"(?:,? (?:(?:{'|'.join(UNIT_WORDS)})\b\.? ?#? ?|#)[\p{{L}}\p{{N}}-]+)?"
+_UNIT = (rf"(?:,? (?:(?:(?:{'|'.join(UNIT_WORDS)})\b\.? ?#? ?|#)[\p{{L}}\p{{N}}-]+"
+         rf"|\d{{1,3}}(?:st|nd|rd|th) Floor))?")
 ADDRESS = (rf"(?:(?=\d){_LEFT}\d{{1,6}}[A-Za-z]?(?: {_STREET_WORD}){{1,4}}?"
            rf"(?: (?:{'|'.join(STREET_KINDS)})\b\.?{_DIRECTION}{_UNIT}"
-           rf"(?:{_CITY_STATE}(?:{_ZIP})?)?|,{_CITY_STATE[2:]}{_ZIP})"
+           rf"(?:{_CITY_STATE}(?:{_ZIP})?)?|{_UNIT},{_CITY_STATE[2:]}{_ZIP})"
            rf"|(?=P)(?<![A-Za-z])P\.?O\.? Box \d{{1,8}}{_UNIT}(?:{_CITY_STATE}(?:{_ZIP})?)?)")
 
 # --- names: capitalised words after a cue. The cues.
 HONORIFICS = ("Mr", "Mrs", "Ms", "Miss", "Mx", "Dr", "Prof")
 PERSON_WORDS = ("holder", "cardholder", "customer", "client", "patient", "employee", "member",
                 "owner", "tenant", "applicant", "beneficiary", "dependent", "dependents",
-                "contact", "primary", "secondary", "hire", "registered", "recipient", "sender",
-                "signed by")
+                "contact", "primary", "secondary", "emergency", "hire", "registered", "recipient",
+                "sender", "parent", "guardian", "spouse", "buyer", "seller", "student", "driver",
+                "attendee", "signed by", "for")
+MAIL_VERBS = ("sent", "emailed", "mailed", "assigned", "addressed", "shipped", "issued", "delivered")
+LETTERS = ("request", "complaint", "application", "message", "email", "letter", "call", "order")
 _WORD = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}[\p{L}\p{M}'’-]*"
 _ANY_WORD = r"\p{Lu}[\p{L}\p{M}'’-]+"
 _MORE = rf"(?: (?:(?:van|von|de|da|del|der|la|bin|al) )?(?:{_WORD}|\p{{Lu}}\.))"
-NAME = (rf"(?=\p{{Lu}}[\p{{L}}'’.])(?<=[ :=])(?:"
+_NUMBER = r"(?: #?[^ \n]{1,20})?"
+_CUES = "|".join((
+    rf"(?i:{'|'.join(PERSON_WORDS)})(?: is)?:?",
+    rf"(?i:{'|'.join(MAIL_VERBS)}) to",
+    rf"(?i:{'|'.join(LETTERS)}){_NUMBER} from",
+    rf"(?i:employee|customer|patient|member){_NUMBER}:"))
+NAME = (rf"(?=\p{{Lu}}[\p{{L}}'’.])(?<=^|[ :=(\"])(?:"
         rf"(?<=(?:^|[^A-Za-z])(?:{'|'.join(HONORIFICS)})\.? ){_ANY_WORD}{_MORE}{{0,3}}"
         rf"|(?<=(?i:name)(?: is|:| :|=) ?){_ANY_WORD}(?: {_ANY_WORD}| \p{{Lu}}\.){{0,3}}"
-        rf"|(?<=(?:^|[^A-Za-z])(?i:{'|'.join(PERSON_WORDS)}|for)(?: is)?:? ){_WORD}{_MORE}{{1,3}})")
+        rf"|(?={_WORD} )(?<=(?:^|[^A-Za-z])(?:{_CUES}) ){_WORD}{_MORE}{{1,3}}"
+        rf"|(?<=\(){_WORD}{_MORE}{{1,2}}(?=\))"
+        rf"|{_WORD}{_MORE}{{1,2}}(?= \((?:SSN|DOB)\b))")
 
 # Longer digit shapes come before shorter ones; names come last.
 BUILT_IN = (

@@ -27,11 +27,17 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def replace_each(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
-    """Replace each match by a function of the match."""
-    pieces = F.split(text, pattern, -1)
-    matches = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), change)
-    return F.array_join(F.flatten(F.zip_with(
-        pieces, matches, lambda piece, match: F.array(piece, F.coalesce(match, F.lit(""))))), "")
+    """Replace each match by a function of the match; text without a match costs one search.
+
+    ``text`` is used more than once, see ``bind``.
+    """
+    def join(matches: Column) -> Column:
+        return F.array_join(F.flatten(F.zip_with(
+            F.split(text, pattern, -1), F.transform(matches, change),
+            lambda piece, match: F.array(piece, F.coalesce(match, F.lit(""))))), "")
+
+    return bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                lambda matches: F.when(F.size(matches) > 0, join(matches)).otherwise(text))
 
 
 def _normal_form(value: Column, form: str) -> Column:
@@ -58,9 +64,7 @@ def _digest(detector: Detector, policy: Policy) -> Callable[[Column], Column]:
 def apply_detector(text: Column, detector: Detector, policy: Policy) -> Column:
     if policy.mode != "hash":
         return F.regexp_replace(text, F.lit(detector.pattern), F.lit(token(detector, policy)))
-    return bind(text, lambda t: F.when(
-        t.rlike(detector.pattern),
-        replace_each(t, detector.pattern, _digest(detector, policy))).otherwise(t))
+    return bind(text, lambda t: replace_each(t, detector.pattern, _digest(detector, policy)))
 
 
 def mask_text(text: Column, policy: Policy) -> Column:

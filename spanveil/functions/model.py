@@ -4,18 +4,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .masking import bind
 
-
-def model_column(text: Column, factory: Callable[[], Callable], is_json: bool) -> Column:
-    """Run the model over the text. ``factory`` loads it, once per Python task.
-
-    A model may break JSON. Its output is then kept as one JSON string, which is still valid
-    and holds nothing that the model removed.
-    """
+def model_column(text: Column, factory: Callable[[], Callable]) -> Column:
+    """Run the model over a text column. ``factory`` loads it, once per Python task."""
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         mask = factory()
@@ -26,12 +20,33 @@ def model_column(text: Column, factory: Callable[[], Callable], is_json: bool) -
                 result[present] = mask(batch[present]).to_numpy()
             yield result
 
-    masked = run(text)
-    if not is_json:
-        return masked
+    # A filter on the result must not run the model a second time below the projection.
+    return run.asNondeterministic()(text)
 
-    def valid(t: Column) -> Column:
-        quoted = F.to_json(F.array(t))
-        return F.when(t.isNull() | F.try_parse_json(t).isNotNull(), t).otherwise(
-            quoted.substr(F.lit(2), F.length(quoted) - 2))
-    return bind(masked, valid)
+
+def apply_model(df: DataFrame, fields: dict[str, bool], factory: Callable[[], Callable]) -> DataFrame:
+    """Run the model over string fields (``column`` or ``column.field``); True marks a JSON field.
+
+    A model may break JSON. Its output is then kept as one JSON string, which is still valid
+    and holds nothing that the model removed.
+    """
+    names = {field: f"_model_{i}" for i, field in enumerate(fields)}
+    staged = df.select("*", *(model_column(F.col(f), factory).alias(n) for f, n in names.items()))
+
+    def result(field: str) -> Column:
+        text, present = F.col(names[field]), F.col(field).isNotNull()
+        if not fields[field]:
+            return F.when(present, text)
+        quoted = F.to_json(F.array(text))
+        return F.when(present, F.when(F.try_parse_json(text).isNotNull(), text).otherwise(
+            quoted.substr(F.lit(2), F.length(quoted) - 2)))
+
+    def column(name: str) -> Column:
+        if name in fields:
+            return result(name).alias(name)
+        whole = F.col(name)
+        for field in (f for f in fields if f.startswith(f"{name}.")):
+            whole = whole.withField(field.split(".")[1], result(field))
+        return whole.alias(name)
+
+    return staged.select(*(column(name) for name in df.columns))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_FIELDS, Policy
-from ..functions.model import model_column
+from ..functions.model import apply_model
 from ..functions.masking import mask_text
 from ..functions.nested import (mask_array_to_text, mask_json_text, mask_typed,
                                 mask_variant_to_text)
@@ -24,6 +24,10 @@ def _data_type(schema: T.StructType, field: str) -> T.DataType:
     return data_type
 
 
+def _is_json(field: str, data_type: T.DataType) -> bool:
+    return isinstance(data_type, T.ArrayType) or field.split(".")[-1] in _JSON_COLUMNS
+
+
 def _plain_text(value: Column, data_type: T.DataType, policy: Policy) -> Column:
     if isinstance(data_type, T.ArrayType) and policy.events_as == "json":
         return F.to_json(value)
@@ -43,12 +47,26 @@ def _masked(field: str, data_type: T.DataType, text: Column, policy: Policy) ->
     return mask_typed(value, data_type, policy)
 
 
+def _open_variants(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """Turn a resource that arrives as one VARIANT into its struct form."""
+    for name in {f.split(".")[0] for f in fields if "." in f}:
+        if name not in df.columns or not isinstance(df.schema[name].dataType, T.VariantType):
+            continue
+        whole = F.col(name)
+        df = df.withColumn(name, F.when(whole.isNotNull(), F.struct(
+            F.try_variant_get(whole, "$.attributes", "variant").alias("attributes"),
+            F.try_variant_get(whole, "$.dropped_attributes_count", "int").alias(
+                "dropped_attributes_count"))))
+    return df
+
+
 def redact(df: DataFrame, fields: tuple[str, ...], policy: Policy) -> DataFrame:
     """Mask the given fields (``column`` or ``column.field``) and pass all others through.
 
     VARIANT and array fields become strings. A struct keeps its other fields, and a null
     struct stays null.
     """
+    df = _open_variants(df, fields)
     types = {field: _data_type(df.schema, field) for field in fields}
     nested = {f for f in fields if "." in f}
     if any(f.count(".") > 1 for f in fields):
@@ -66,12 +84,7 @@ def redact(df: DataFrame, fields: tuple[str, ...], policy: Policy) -> DataFrame:
     def column(name: str) -> Column:
         def masked(field: str) -> Column:
             text = F.col(texts[field]) if field in texts else None
-            result = _masked(field, types[field], text, policy)
-            if policy.model is None or field not in texts:
-                return result
-            is_json = (isinstance(types[field], T.ArrayType)
-                       or field.split(".")[-1] in _JSON_COLUMNS)
-            return model_column(result, policy.model, is_json)
+            return _masked(field, types[field], text, policy)
 
         if name in fields:
             return masked(name).alias(name)
@@ -80,7 +93,10 @@ def redact(df: DataFrame, fields: tuple[str, ...], policy: Policy) -> DataFrame:
             result = result.withField(field.split(".")[1], masked(field))
         return result.alias(name)
 
-    return staged.select(*(column(name) for name in df.columns))
+    redacted = staged.select(*(column(name) for name in df.columns))
+    if policy.model is None or not texts:
+        return redacted
+    return apply_model(redacted, {f: _is_json(f, types[f]) for f in texts}, policy.model)
 
 
 def _project(df: DataFrame, schema: T.StructType, where: Column | None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig, parse_retention
-from ..sources.tables import file_system, path_exists, read_raw
+from ..sources.tables import day_folders, file_system, path_exists, read_raw
 from .compare import unredacted_rows
 
 # Fixed value: annotations never expire by default.
@@ -54,22 +54,13 @@ def expire_folder(spark: SparkSession, path: str, retention,
     Safe to run again after a failure: what is already gone is not listed.
     """
     cutoff = _cutoff(spark, retention, as_of)
-    if cutoff is None or not path_exists(spark, path):
+    if cutoff is None:
         return []
-    fs, root = file_system(spark, path)
-    dropped = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if not status.isDirectory() or not name.startswith("date="):
-            continue
-        try:
-            day = dt.date.fromisoformat(name.removeprefix("date="))
-        except ValueError:
-            continue  # the folder of rows without a date
-        if day < cutoff:
-            if not fs.delete(status.getPath(), True):
-                raise OSError(f"cannot delete {status.getPath()}")
-            dropped.append(day)
+    dropped = {day: folder for day, folder in day_folders(spark, path).items() if day < cutoff}
+    for folder in dropped.values():
+        fs, folder_path = file_system(spark, folder)
+        if not fs.delete(folder_path, True):
+            raise OSError(f"cannot delete {folder}")
     return sorted(dropped)
 
 
@@ -101,8 +92,10 @@ def expire(spark: SparkSession, config: PipelineConfig, as_of: dt.date | None =
     for kind in kinds:
         path = config.raw_path(kind)
         if redacted is not None and path_exists(spark, path):
-            old = read_raw(spark, config, kind).where(expired(config.retention_days, as_of))
-            if not unredacted_rows(old.select("record_id"), redacted[kind]).isEmpty():
+            # A row keeps its date, so both sides read the expired days only.
+            past = expired(config.retention_days, as_of)
+            old, done = read_raw(spark, config, kind).where(past), redacted[kind].where(past)
+            if not unredacted_rows(old.select("record_id"), done).isEmpty():
                 raise ValueError(f"{path} holds expired rows that are not redacted yet")
         dropped[kind] = expire_folder(spark, path, config.retention_days, as_of)
     return dropped

@@ -1,6 +1,7 @@
 """Reading of raw and redacted tables, in batch and as streams."""
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,6 +22,24 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def day_folders(spark: SparkSession, path: str) -> dict[dt.date, str]:
+    """The ``date=`` folders of a table; the one of rows without a date is left out."""
+    if not path_exists(spark, path):
+        return {}
+    fs, root = file_system(spark, path)
+    days = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if not status.isDirectory() or not name.startswith("date="):
+            continue
+        try:
+            day = dt.date.fromisoformat(name.removeprefix("date="))
+        except ValueError:
+            continue
+        days[day] = status.getPath().toString()
+    return days
+
+
 def read_raw(spark: SparkSession, config: PipelineConfig, kind: str) -> DataFrame:
     return spark.read.schema(BY_KIND[kind]).parquet(config.raw_path(kind))
 
@@ -32,6 +51,16 @@ def stream_raw(spark: SparkSession, config: PipelineConfig, kind: str) -> DataFr
     return reader.parquet(config.raw_path(kind))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before expensive row work.
+
+    Only an input with fewer partitions than cores is shuffled, that is, one much smaller than
+    the cluster. A large one is read by many tasks anyway and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass(frozen=True)
 class SourceState:
     kind: str

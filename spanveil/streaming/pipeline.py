@@ -9,14 +9,13 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..config import TABLE_KINDS, PipelineConfig
 from ..operators.redact import REDACTORS
 from ..plans.trace_view import trace_unified
 from ..schemas import BY_KIND
-from ..sources.tables import file_system, path_exists, read_raw, stream_raw
+from ..sources.tables import day_folders, file_system, path_exists, stream_raw
 
 _READY = "_READY"
 
@@ -136,12 +135,11 @@ def full_refresh(spark: SparkSession, config: PipelineConfig, allow_loss: bool =
         for kind in _present(spark, config):
             if "date" not in BY_KIND[kind].names:
                 continue
-            lost = read_redacted(spark, config, kind).select("date").distinct().join(
-                read_raw(spark, config, kind).select("date").distinct(), "date", "left_anti")
-            oldest = lost.where("date is not null").agg(F.min("date")).first()[0]
-            if oldest is not None:
-                raise ValueError(f"raw {kind} no longer hold days from {oldest} on that are redacted "
-                                 "already; a full refresh would lose them")
+            lost = (day_folders(spark, redacted_path(spark, config, kind)).keys()
+                    - day_folders(spark, config.raw_path(kind)).keys())
+            if lost:
+                raise ValueError(f"raw {kind} no longer hold {len(lost)} redacted days, the first of "
+                                 f"them {min(lost)}; a full refresh would lose them")
     version = max(_versions(spark, config), default=0) + 1
     report = _process(spark, config, version, where or {})
     _mark_ready(spark, config, version)

@@ -156,12 +156,13 @@ def test_further_fields(spark, table):
         redact(raw, ("status", "status.code"), Policy())
 
 
-def test_model_hook(spark, table):
+@pytest.mark.parametrize("options", [{}, {"mode": "hash", "salt": "s"}, {"allowlisted_keys": ("k",)}])
+def test_model_hook(spark, table, options):
     def broken_json_model():
         return lambda texts: texts.str.replace("svc", '"', regex=False)
 
     raw = spans_from_events(table("events"))
-    out = redact_spans(raw, Policy(model=broken_json_model))
+    out = redact_spans(raw, Policy(model=broken_json_model, **options))
     bad = out.where("attributes is not null and try_parse_json(attributes) is null").count()
     assert bad == 0 and out.where("attributes is null").count() == raw.where("attributes is null").count()
     assert out.where("attributes like '%svc%'").count() == 0
