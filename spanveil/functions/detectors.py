@@ -1,7 +1,8 @@
 """Patterns that find personal data in text.
 
-Every pattern starts with a cheap test of the first character and uses look-around for its
-borders, so a match is exactly the value and a scan over text without hits stays fast.
+Most patterns start by taking one character of a small class, so a search passes over other
+characters quickly. Borders are looked at, not taken, so a match is exactly the value. Where a
+pattern looks back for a cue, cheaper tests of the place come first.
 
 Texts may themselves be JSON (a JSON document stored as a string attribute), so the left
 border knows JSON escapes: in ``\\nbob@x.com`` the value starts at ``b``, not at ``n``.
@@ -18,31 +19,29 @@ class Detector:
     name: str
     pattern: str
     normal_form: str = "exact"  # how equal values are brought together before hashing
+    needs: str = ""  # what a text must hold for a match: "@", "digit" or nothing
 
 
-_AFTER_ESCAPE = r"(?<=\\[bfnrt])|(?<=\\u[0-9a-fA-F]{4})"
-_LEFT = rf"(?:(?<![0-9A-Za-z])|{_AFTER_ESCAPE})"
+# The left border of a value whose first character has been taken.
+_LEFT = r"(?:(?<![0-9A-Za-z].)|(?<=\\[bfnrt].)|(?<=\\u[0-9a-fA-F]{4}.))"
 
 # --- e-mail: letters of any script; possessive, so a long token is read once
 _MAILBOX = r"\p{L}\p{N}\p{M}._%+\-"
-EMAIL = (rf"(?:(?<![{_MAILBOX}\\])|{_AFTER_ESCAPE}|(?<=\\)(?![bfnrtu]))"
+EMAIL = (rf"(?:(?<![{_MAILBOX}\\])|(?<=\\[bfnrt])|(?<=\\u[0-9a-fA-F]{{4}})|(?<=\\)(?![bfnrtu]))"
          rf"[{_MAILBOX}]++@(?:[\p{{L}}\p{{N}}\p{{M}}-]+\.)+\p{{L}}{{2,}}")
 
-# Cue patterns look back over a variable distance, which is slow. A short look at the value and
-# at the character before it comes first and rules out nearly all places.
-
 # --- cards: grouped, plain 16 digits, 4-6-5; or the last four after a cue
 _CARD_CUE = r"(?i:card|visa|mastercard|amex|discover)[^0-9\n]{0,20}ending(?: in)? "
-_AFTER_ENDING = r"(?=\d{4}(?!\d))(?<=ending |ending in )"
-CREDIT_CARD = (rf"(?=\d)(?:{_LEFT}(?:\d{{4}}(?:-\d{{4}}){{3}}|\d{{4}}(?: \d{{4}}){{3}}|[2-9]\d{{15}}"
-               rf"|3[47]\d{{2}}[ -]?\d{{6}}[ -]?\d{{5}})(?!\d)"
-               rf"|{_AFTER_ENDING}(?<={_CARD_CUE})\d{{4}})")
+_AFTER_ENDING = r"(?=\d{3}(?!\d))(?<=ending .|ending in .)"
+CREDIT_CARD = (rf"\d(?:(?=\d{{3}}){_LEFT}(?:\d{{3}}(?:(?:-\d{{4}}){{3}}|(?: \d{{4}}){{3}})|(?<=[2-9])\d{{15}}"
+               rf"|(?<=3)[47]\d{{2}}[ -]?\d{{6}}[ -]?\d{{5}})(?!\d)"
+               rf"|{_AFTER_ENDING}(?<={_CARD_CUE}.)\d{{3}})")
 
 # --- social security numbers: any area number; bare or partial only after a cue
 _SSN_CUE = r"(?i:ssn|social security(?: number)?)"
-SSN = (rf"(?=\d)(?:{_LEFT}(?:\d{{3}}-\d{{2}}-\d{{4}}|\d{{3}} \d{{2}} \d{{4}})(?!\d)"
-       rf"|(?=\d{{9}}(?!\d))(?<=[:#= ])(?<={_SSN_CUE}[:#= ]{{1,3}})\d{{9}}"
-       rf"|{_AFTER_ENDING}(?<={_SSN_CUE}[^0-9\n]{{0,20}}ending(?: in)? )\d{{4}})")
+SSN = (rf"\d(?:(?=\d{{2}}[ -]\d{{2}}){_LEFT}\d{{2}}(?:-\d{{2}}-|[ ]\d{{2}} )\d{{4}}(?!\d)"
+       rf"|(?=\d{{8}}(?!\d))(?<=[:#= ].)(?<={_SSN_CUE}[:#= ]{{1,3}}.)\d{{8}}"
+       rf"|{_AFTER_ENDING}(?<={_SSN_CUE}[^0-9\n]{{0,20}}ending(?: in)? .)\d{{3}})")
 
 # --- dates of birth: a date right after a cue
 _MONTH = r"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]{0,6}\.?"
@@ -53,21 +52,26 @@ _BIRTH_CUE = (r"(?i:dob|d\.o\.b\.|date of birth|birth ?date|birthday|born on|bor
               r"(?: is| was)?[:=( ]{1,3}")
 DATE_OF_BIRTH = rf"(?=[0-9ADFJMNOS])(?<=[:=( ])(?={_DATE})(?<={_BIRTH_CUE}){_DATE}"
 
-# --- IP addresses
+# --- IP addresses; a version 6 address must hold a decimal digit
 _OCTET = r"(?:25[0-5]|2[0-4]\d|[01]?\d?\d)"
+_OCTET_REST = r"(?:(?<=2)(?:5[0-5]|[0-4]\d|\d?)|(?<=[01])\d{0,2}|(?<=[3-9])\d?)"
 _HEX = r"[0-9a-fA-F]{1,4}"
-IP_ADDRESS = (rf"(?:(?=\d){_LEFT}(?<!\d\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"
-              rf"|(?={_HEX}:){_LEFT}(?<!:)(?:(?:{_HEX}:){{7}}{_HEX}"
-              rf"|[0-9a-fA-F]{{3,4}}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)"
+IP_ADDRESS = (rf"[0-9a-fA-F](?:(?<=\d)(?=\d{{0,2}}\.\d){_LEFT}(?<!\d\..){_OCTET_REST}(?:\.{_OCTET}){{3}}(?!\.?\d)"
+              rf"|(?=[0-9a-fA-F]{{0,3}}:){_LEFT}(?<!:.)(?<=(?=[0-9a-fA-F:]{{0,39}}\d).)"
+              rf"(?:[0-9a-fA-F]{{0,3}}:(?:{_HEX}:){{6}}{_HEX}"
+              rf"|[0-9a-fA-F]{{2,3}}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)"
               rf"(?![0-9A-Za-z:]))")
 
 # --- phones: North American with separators, or international with a plus sign
+_LINE = r"\d{3}[ .-]\d{4}"
+_AREA = r"(?:\(\d{3}\)[ .-]?|\d{3}[ .-])"
 _EXTENSION = r"(?:(?: ?x ?| ext\.? ?)\d{1,5})?"
-PHONE = (rf"(?:(?=[(+])|(?=\d){_LEFT})"
-         rf"(?:(?:\+?1[ .-]?)?(?:\(\d{{3}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}"
-         rf"|\+(?=(?:[ .()-]{{0,2}}\d){{8}})\d{{1,3}}(?: ?\(\d{{1,4}}\))?"
+PHONE = (rf"[+(0-9](?:(?<=\d)(?=[\d .(-]{{3}}){_LEFT}(?:\d{{2}}[ .-]{_LINE}|(?<=1)[ .-]?{_AREA}{_LINE})"
+         rf"|(?<=\()\d{{3}}\)[ .-]?{_LINE}"
+         rf"|(?<=\+)(?:1[ .-]?{_AREA}{_LINE}"
+         rf"|(?=(?:[ .()-]{{0,2}}\d){{8}})\d{{1,3}}(?: ?\(\d{{1,4}}\))?"
          rf"(?:(?: \d{{1,5}}){{2,5}}(?![.-]\d)|(?:-\d{{2,8}}){{2,4}}|(?:\.\d{{2,8}}){{2,4}}"
-         rf"|[ .-]?\d{{6,12}}))(?!\d){_EXTENSION}")
+         rf"|[ .-]?\d{{6,12}})))(?!\d){_EXTENSION}")
 
 # --- postal addresses: number, street words, street kind; then unit, city, state, zip.
 # Street kinds, unit words and directions.
@@ -84,10 +88,11 @@ _ZIP = r" +\d{5}(?:-\d{4})?(?!\d)"
 _DIRECTION = r"(?: (?:NE|NW|SE|SW|N|S|E|W)\b)?"
 _UNIT = (rf"(?:,? (?:(?:(?:{'|'.join(UNIT_WORDS)})\b\.? ?#? ?|#)[\p{{L}}\p{{N}}-]+"
          rf"|\d{{1,3}}(?:st|nd|rd|th) Floor))?")
-ADDRESS = (rf"(?:(?=\d){_LEFT}\d{{1,6}}[A-Za-z]?(?: {_STREET_WORD}){{1,4}}?"
+ADDRESS = (rf"[0-9P](?:(?<=\d)(?=\d{{0,5}}[A-Za-z]? [\p{{Lu}}\dotdl]){_LEFT}"
+           rf"\d{{0,5}}[A-Za-z]?(?: {_STREET_WORD}){{1,4}}?"
            rf"(?: (?:{'|'.join(STREET_KINDS)})\b\.?{_DIRECTION}{_UNIT}"
            rf"(?:{_CITY_STATE}(?:{_ZIP})?)?|{_UNIT},{_CITY_STATE[2:]}{_ZIP})"
-           rf"|(?=P)(?<![A-Za-z])P\.?O\.? Box \d{{1,8}}{_UNIT}(?:{_CITY_STATE}(?:{_ZIP})?)?)")
+           rf"|(?<=P)(?<![A-Za-z]P)\.?O\.? Box \d{{1,8}}{_UNIT}(?:{_CITY_STATE}(?:{_ZIP})?)?)")
 
 # --- names: capitalised words after a cue. The cues.
 HONORIFICS = ("Mr", "Mrs", "Ms", "Miss", "Mx", "Dr", "Prof")
@@ -98,31 +103,32 @@ PERSON_WORDS = ("holder", "cardholder", "customer", "client", "patient", "employ
                 "attendee", "signed by", "for")
 MAIL_VERBS = ("sent", "emailed", "mailed", "assigned", "addressed", "shipped", "issued", "delivered")
 LETTERS = ("request", "complaint", "application", "message", "email", "letter", "call", "order")
-_WORD = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}[\p{L}\p{M}'’-]*"
-_ANY_WORD = r"\p{Lu}[\p{L}\p{M}'’-]+"
-_MORE = rf"(?: (?:(?:van|von|de|da|del|der|la|bin|al) )?(?:{_WORD}|\p{{Lu}}\.))"
 _NUMBER = r"(?: #?[^ \n]{1,20})?"
 _CUES = "|".join((
     rf"(?i:{'|'.join(PERSON_WORDS)})(?: is)?:?",
     rf"(?i:{'|'.join(MAIL_VERBS)}) to",
     rf"(?i:{'|'.join(LETTERS)}){_NUMBER} from",
     rf"(?i:employee|customer|patient|member){_NUMBER}:"))
-NAME = (rf"(?=\p{{Lu}}[\p{{L}}'’.])(?<=^|[ :=(\"])(?:"
-        rf"(?<=(?:^|[^A-Za-z])(?:{'|'.join(HONORIFICS)})\.? ){_ANY_WORD}{_MORE}{{0,3}}"
-        rf"|(?<=(?i:name)(?: is|:| :|=) ?){_ANY_WORD}(?: {_ANY_WORD}| \p{{Lu}}\.){{0,3}}"
-        rf"|(?={_WORD} )(?<=(?:^|[^A-Za-z])(?:{_CUES}) ){_WORD}{_MORE}{{1,3}}"
-        rf"|(?<=\(){_WORD}{_MORE}{{1,2}}(?=\))"
-        rf"|{_WORD}{_MORE}{{1,2}}(?= \((?:SSN|DOB)\b))")
+_REST = r"(?:['’]\p{Lu})?\p{Ll}[\p{L}\p{M}'’-]*"  # of a word whose capital has been taken
+_WORD = rf"\p{{Lu}}{_REST}"
+_ANY_REST = r"[\p{L}\p{M}'’-]+"
+_MORE = rf"(?: (?:(?:van|von|de|da|del|der|la|bin|al) )?(?:{_WORD}|\p{{Lu}}\.))"
+NAME = (rf"\p{{Lu}}(?<![^ :=(\"].)(?:"
+        rf"(?<=[a-z.] .)(?<=(?:^|[^A-Za-z])(?:{'|'.join(HONORIFICS)})\.? .){_ANY_REST}{_MORE}{{0,3}}"
+        rf"|(?<=[:=] ?.|is .)(?<=(?i:name)(?: is|:| :|=) ?.){_ANY_REST}(?: \p{{Lu}}{_ANY_REST}| \p{{Lu}}\.){{0,3}}"
+        rf"|(?={_REST}{_MORE})(?<=(?:^|[^A-Za-z])(?:{_CUES}) .){_REST}{_MORE}{{1,3}}"
+        rf"|(?<=\(.){_REST}{_MORE}{{1,2}}(?=\))"
+        rf"|{_REST}{_MORE}{{1,2}}(?= \((?:SSN|DOB)\b))")
 
 # Longer digit shapes come before shorter ones; names come last.
 BUILT_IN = (
-    Detector("email", EMAIL, "lower"),
-    Detector("credit_card", CREDIT_CARD, "digits"),
-    Detector("ssn", SSN, "digits"),
-    Detector("date_of_birth", DATE_OF_BIRTH),
-    Detector("ip_address", IP_ADDRESS, "lower"),
-    Detector("phone", PHONE, "phone"),
-    Detector("address", ADDRESS, "lower"),
+    Detector("email", EMAIL, "lower", "@"),
+    Detector("credit_card", CREDIT_CARD, "digits", "digit"),
+    Detector("ssn", SSN, "digits", "digit"),
+    Detector("date_of_birth", DATE_OF_BIRTH, needs="digit"),
+    Detector("ip_address", IP_ADDRESS, "lower", "digit"),
+    Detector("phone", PHONE, "phone", "digit"),
+    Detector("address", ADDRESS, "lower", "digit"),
     Detector("name", NAME, "lower"),
 )
 

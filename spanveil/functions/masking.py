@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,29 +75,37 @@ def mask_text(text: Column, policy: Policy) -> Column:
     ``text`` is used more than once, so pass a column or a lambda variable (see ``bind``).
     """
     found = detectors(policy)
-    if not found:
-        return text
 
-    def chain(chosen) -> Column:
+    def chain(*present: str) -> Column:
         masked = text
-        for detector in chosen:
-            masked = apply_detector(masked, detector, policy)
+        for detector in found:
+            if not detector.needs or detector.needs in present:
+                masked = apply_detector(masked, detector, policy)
         return masked
 
-    # The e-mail pattern is the only one that must look at every word; a byte search for the
-    # sign spares most texts that.
-    if not any(d.name == "email" for d in found):
-        return chain(found)
-    return F.when(F.contains(text, F.lit("@")), chain(found)).otherwise(
-        chain([d for d in found if d.name != "email"]))
+    # Most texts lack the sign or the digits that most patterns need.
+    needs = {d.needs for d in found}
+    sign, digit = F.contains(text, F.lit("@")), text.rlike("[0-9]")
+
+    def by_digit(*present: str) -> Column:
+        if "digit" not in needs:
+            return chain(*present)
+        return F.when(digit, chain(*present, "digit")).otherwise(chain(*present))
+
+    if not found:
+        return text
+    if "@" not in needs:
+        return by_digit()
+    return F.when(sign, by_digit("@")).otherwise(by_digit())
 
 
 def any_hit(text: Column, policy: Policy) -> Column:
     """True if some detector finds something in the text."""
+    gates = {"@": F.contains(text, F.lit("@")), "digit": text.rlike("[0-9]")}
     hit = F.lit(False)
-    for detector in detectors(policy):
-        test = text.rlike(detector.pattern)
-        if detector.name == "email":
-            test = F.contains(text, F.lit("@")) & test
-        hit = hit | test
+    for need in ("", "@", "digit"):
+        tests = [text.rlike(d.pattern) for d in detectors(policy) if d.needs == need]
+        if tests:
+            group = reduce(or_, tests)
+            hit = hit | (gates[need] & group if need else group)
     return hit
