@@ -18,7 +18,7 @@ _PATTERNS = {
     "ip_address": rf"{_LEFT}(?:(?:25[0-5]|2[0-4]\d|[01]?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|[01]?\d?\d){_RIGHT}",
     "phone": r"(^|[^0-9A-Za-z])(?:(?:\+?1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4})\b()",
     "address": rf"{_LEFT}\d{{1,6}}(?: [A-Z][\w'-]*){{1,4}}? (?:Street|Avenue|Road|Boulevard|Drive|Lane)()",
-    "name": r"((?:^|[^A-Za-z])(?:Mr|Mrs|Ms|Miss|Mx|Dr|Prof|[Ff]or|[Ff]OR)\.? )"
+    "name": r"((?:^|[^A-Za-z])(?:Mr|Mrs|Ms|Miss|Mx|Dr|Prof|[\x01f]or|FOR)\.? )"
             r"[A-Z][a-z][\w'-]*(?: [A-Z][a-z][\w'-]*){1,3}()",
 }
 _ORDER = ("email", "credit_card", "ssn", "ip_address", "phone", "address", "name")
@@ -30,6 +30,13 @@ def _quoted(text: str) -> str:
 
 def _replace(column: str, category: str, token: str | None = None) -> str:
     value = f"[{category.upper()}]" if token is None else token
+    if category == "name":  # "For" starts the next name, so it must not look like a part of one
+        column = f"replace({column}, 'For ', chr(1) || 'or ')"
+        return f"replace({_replace_plain(column, category, value)}, chr(1) || 'or ', 'For ')"
+    return _replace_plain(column, category, value)
+
+
+def _replace_plain(column: str, category: str, value: str) -> str:
     return (f"regexp_replace({column}, {_quoted(_PATTERNS[category])}, "
             f"{_quoted(chr(92) + '1' + value + chr(92) + '2')}, 'g')")
 

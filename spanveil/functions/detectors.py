@@ -109,7 +109,8 @@ _CUES = "|".join((
     rf"(?i:{'|'.join(MAIL_VERBS)}) to",
     rf"(?i:{'|'.join(LETTERS)}){_NUMBER} from",
     rf"(?i:employee|customer|patient|member){_NUMBER}:"))
-_REST = r"(?:['’]\p{Lu})?\p{Ll}[\p{L}\p{M}'’-]*"  # of a word whose capital has been taken
+# The rest of a word whose capital has been taken; "For" starts the next cue and is no name.
+_REST = r"(?!(?<=F)or )(?:['’]\p{Lu})?\p{Ll}[\p{L}\p{M}'’-]*"
 _WORD = rf"\p{{Lu}}{_REST}"
 _ANY_REST = r"[\p{L}\p{M}'’-]+"
 _MORE = rf"(?: (?:(?:van|von|de|da|del|der|la|bin|al) )?(?:{_WORD}|\p{{Lu}}\.))"

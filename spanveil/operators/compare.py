@@ -34,20 +34,20 @@ def raw_vs_redacted(raw: DataFrame, redacted: DataFrame, field: str = "attribute
         return df.select(*KEYS, _text(df, field).alias(name)).groupBy(*KEYS, name).agg(
             F.count("*").alias(f"{name}_rows"))
 
-    left, right = side(raw, "raw"), side(redacted, "redacted")
     if limit is None:
-        return left.join(right, list(KEYS))
+        return side(raw, "raw").join(side(redacted, "redacted"), list(KEYS))
 
-    # Only the first keys that occur on both sides are needed, so find these on narrow rows.
-    keys = left.select(*KEYS).join(right.select(*KEYS), list(KEYS), "left_semi").distinct()
+    # Only the first keys that occur on both sides are needed, so find these on narrow rows
+    # and read the texts of their rows alone.
+    keys = raw.select(*KEYS).distinct().join(redacted.select(*KEYS), list(KEYS), "left_semi")
     first = F.broadcast(keys.orderBy(*KEYS).limit(limit))  # at most ``limit`` rows
 
     def smallest(df: DataFrame, name: str) -> DataFrame:
         order = Window.partitionBy(*KEYS).orderBy(name)
-        return df.join(first, list(KEYS)).withColumn("rank", F.row_number().over(order)).where(
-            F.col("rank") <= limit).drop("rank")
+        return side(df.join(first, list(KEYS)), name).withColumn(
+            "rank", F.row_number().over(order)).where(F.col("rank") <= limit).drop("rank")
 
-    return smallest(left, "raw").join(smallest(right, "redacted"), list(KEYS)).orderBy(
+    return smallest(raw, "raw").join(smallest(redacted, "redacted"), list(KEYS)).orderBy(
         *KEYS, "raw", "redacted").limit(limit)
 
 

@@ -7,22 +7,26 @@ from pyspark.sql import functions as F
 from ..shared import stored
 
 
-def oversized(sizes: DataFrame, max_rows: int) -> DataFrame | None:
+def oversized(sizes: DataFrame, max_rows: int, now: bool = True) -> DataFrame | None:
     """Of a table of groups with a count ``n``, those that need several parts; None if none does.
 
-    ``sizes`` must be cheap: it is read once here, over its key columns only.
+    ``now`` finds them at once, so the many plans without a large group need no join for them, and
+    others join a table of known size. Otherwise they are found whenever the plan runs.
     """
     if max_rows < 1:
         raise ValueError("max_rows must be at least 1")
-    parts = stored(sizes.where(F.col("n") > max_rows).withColumn(
-        "parts", F.ceil(F.col("n") / max_rows).cast("long")))
+    parts = sizes.where(F.col("n") > max_rows).withColumn(
+        "parts", F.ceil(F.col("n") / max_rows).cast("long"))
+    if not now:
+        return parts
+    parts = stored(parts)
     return None if parts.isEmpty() else parts
 
 
-def spread(*columns: str) -> Column:
+def spread(*columns: str, row_id: str | None = None) -> Column:
     """A number that spreads the rows of one group, exact copies included.
 
-    Copies of one row differ in the input partition they come from. Both inputs stay the same
-    if a task is run again.
+    Copies of one row differ in their row id if there is one, else in the input partition they come
+    from. Both stay the same if a task is run again. A row id lets filters reach the scan.
     """
-    return F.xxhash64(*columns, F.spark_partition_id())
+    return F.xxhash64(*columns, F.spark_partition_id() if row_id is None else F.col(row_id))

@@ -64,7 +64,8 @@ def annotations_by_target(annotations: DataFrame, max_list: int = MAX_LIST) -> D
     return rows.groupBy("target_id", "part").agg(_listed("annotation").alias("annotations"))
 
 
-def trace_unified(spans: DataFrame, annotations: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
+def trace_unified(spans: DataFrame, annotations: DataFrame, max_list: int = MAX_LIST,
+                  now: bool = True, row_id: str | None = None) -> DataFrame:
     """The unified trace view, plus the number of the part.
 
     Nearly all traces have one row, with part 0. A trace-day with more than ``max_list`` spans
@@ -72,34 +73,40 @@ def trace_unified(spans: DataFrame, annotations: DataFrame, max_list: int = MAX_
     no list grows without bound; every span and annotation is in exactly one of them, and all of
     them carry the times of the whole trace.
 
-    Spans and annotations meet in one grouping instead of a join of finished lists: the wide
-    span rows are shuffled once, on trace and day. Group sizes are taken first, from a scan of
-    the key and time columns.
+    Spans and annotations meet in one grouping instead of a join of finished lists. With ``now``,
+    for reading all traces, large trace-days are found first by a scan of the key and time columns,
+    and the wide span rows are shuffled once. Without it nothing runs before the view is read; it needs
+    ``row_id``, a column that tells equal rows apart, and shuffles the spans that it reads twice.
+    Filters on trace and day then reach the scan of the wide span rows, but not the one that finds
+    large trace-days. For a lookup, better filter ``spans`` before the call.
     """
+    if not now and row_id is None:
+        raise ValueError("a view that is sized when read needs a row_id")
     keys = ["trace_id", "date"]
     days = spans.groupBy(*keys).agg(
         F.min("start_time_unix_nano").alias("first_start"),
         F.max("end_time_unix_nano").alias("last_end"),
         F.count("*").alias("n"))
-    large_days = oversized(days, max_list)
+    large_days = oversized(days, max_list, now)
     large_targets = oversized(
-        annotations.groupBy("target_id").agg(F.count("*").alias("n")), max_list)
+        annotations.groupBy("target_id").agg(F.count("*").alias("n")), max_list, now)
 
     span_rows = spans.select(
         *keys, F.col("start_time_unix_nano").alias("first_start"),
         F.col("end_time_unix_nano").alias("last_end"), _span_item(spans).alias("span"),
         *([] if large_days is None else
           [spread(*(c for c in ("record_id", "span_id", "start_time_unix_nano")
-                    if c in spans.columns)).alias("spread")]))
+                    if c in spans.columns), row_id=row_id).alias("spread")]))
     if large_days is None:
         span_rows = span_rows.withColumn("part", F.lit(0))
     else:
-        bounds = large_days.select(*keys, "parts", F.col("first_start").alias("day_start"),
+        bounds = large_days.select(*(F.col(k).alias(f"large_{k}") for k in keys), "parts",
+                                   F.col("first_start").alias("day_start"),
                                    F.col("last_end").alias("day_end"))
         # Null keys form a group of their own, so they must meet their bounds too.
-        matched = [span_rows[k].eqNullSafe(bounds[k]) for k in keys]
+        matched = [F.col(k).eqNullSafe(F.col(f"large_{k}")) for k in keys]
         span_rows = span_rows.join(bounds, matched, "left").select(
-            *(span_rows[k] for k in keys),
+            *keys,
             F.when(F.col("parts").isNull(), F.col("first_start")).otherwise(
                 F.col("day_start")).alias("first_start"),
             F.when(F.col("parts").isNull(), F.col("last_end")).otherwise(
@@ -109,7 +116,7 @@ def trace_unified(spans: DataFrame, annotations: DataFrame, max_list: int = MAX_
     annotation_rows = annotations.where(F.col("target_id").isNotNull()).select(
         "target_id", _annotation_item(annotations).alias("annotation"),
         *([] if large_targets is None else
-          [spread("annotation_id", "created_at").alias("spread")]))
+          [spread("annotation_id", "created_at", row_id=row_id).alias("spread")]))
     if large_targets is None:
         annotation_rows = annotation_rows.withColumn("part", F.lit(0))
     else:
@@ -120,8 +127,12 @@ def trace_unified(spans: DataFrame, annotations: DataFrame, max_list: int = MAX_
         days, annotation_rows["target_id"] == days["trace_id"]).select(
         *keys, "first_start", "last_end", "annotation", "part")
 
-    grouped = span_rows.unionByName(annotation_rows, allowMissingColumns=True).groupBy(
-        *keys, "part").agg(
+    rows = span_rows.unionByName(annotation_rows, allowMissingColumns=True)
+    if not now:
+        # Else the join above and the grouping would share a shuffle by trace and day, with all
+        # parts of a large trace in one task.
+        rows = rows.repartition(*keys, "part")
+    grouped = rows.groupBy(*keys, "part").agg(
         F.min("first_start").alias("request_time_nano"),
         (F.max("last_end") - F.min("first_start")).alias("execution_duration_nano"),
         _listed("span").alias("spans"),

@@ -9,6 +9,7 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..config import TABLE_KINDS, PipelineConfig
@@ -71,6 +72,13 @@ def read_redacted(spark: SparkSession, config: PipelineConfig, kind: str) -> Dat
     return spark.read.schema(schema).parquet(path)
 
 
+def _with_row_id(spark: SparkSession, config: PipelineConfig, kind: str) -> DataFrame:
+    df = read_redacted(spark, config, kind)
+    if not path_exists(spark, redacted_path(spark, config, kind)):
+        return df.withColumn("row_id", F.lit(0).cast("long"))
+    return df.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row_id"))
+
+
 def _writer(spark: SparkSession, config: PipelineConfig, kind: str, version: int,
             where: Column | None) -> DataStreamWriter:
     base, name = _version_path(config, version), config.redacted_name(kind)
@@ -147,11 +155,22 @@ def full_refresh(spark: SparkSession, config: PipelineConfig, allow_loss: bool =
     return report
 
 
-def trace_view(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    return trace_unified(read_redacted(spark, config, "spans"),
-                         read_redacted(spark, config, "annotations"))
+def trace_view(spark: SparkSession, config: PipelineConfig, now: bool = True,
+               where: Column | None = None) -> DataFrame:
+    """The unified view of the current version, of all traces or those that ``where`` chooses.
+
+    Give ``where`` on trace_id and date, so that whole traces are chosen.
+    """
+    if now:
+        spans = read_redacted(spark, config, "spans")
+        return trace_unified(spans if where is None else spans.where(where),
+                             read_redacted(spark, config, "annotations"))
+    if where is not None:
+        raise ValueError("filter the view itself if it is sized when read")
+    return trace_unified(_with_row_id(spark, config, "spans"),
+                         _with_row_id(spark, config, "annotations"), now=False, row_id="row_id")
 
 
 def publish_view(spark: SparkSession, config: PipelineConfig) -> None:
-    """Name the unified view for SQL users of this session."""
-    trace_view(spark, config).createOrReplaceTempView(config.unified_name)
+    """Name the unified view for SQL users of this session; nothing is read before they query it."""
+    trace_view(spark, config, now=False).createOrReplaceTempView(config.unified_name)

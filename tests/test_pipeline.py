@@ -11,7 +11,7 @@ from spanveil.plans.catalog import create_raw_table, publish_tables
 from spanveil.sources.samples import annotations_from_labels, logs_from_documents, spans_from_events
 from spanveil.sources.tables import check_sources
 from spanveil.streaming.pipeline import (current_version, full_refresh, read_redacted, redact_kind,
-                                         redacted_path, run)
+                                         redacted_path, run, trace_view)
 
 
 @pytest.fixture
@@ -57,6 +57,8 @@ def test_triggered_runs_read_only_what_is_new(spark, filled, table):
         batch = redact_kind(spark.read.parquet(filled.raw_path(kind)), filled, kind)
         assert rows(read_redacted(spark, filled, kind)) == rows(batch)
     view = spark.table(filled.unified_name)
+    assert rows(view) == rows(trace_view(spark, filled))
+    assert rows(view.where("trace_id = '7'")) == rows(trace_view(spark, filled, where=F.col("trace_id") == "7"))
     assert view.agg(F.sum(F.size("spans"))).first()[0] == 1010
     assert view.columns[:6] == ["trace_id", "date", "request_time_nano",
                                 "execution_duration_nano", "spans", "annotations"]

@@ -64,6 +64,18 @@ def test_unified_view(skewed, annotations, max_list):
     assert gathered(trace_unified(skewed, annotations, max_list)) == brute_force(skewed, annotations)
 
 
+@pytest.mark.parametrize("max_list", [10_000, 20, 1])
+def test_unified_view_sized_when_read(skewed, annotations, max_list):
+    spans = skewed.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row_id"))
+    rated = annotations.withColumn("row_id", F.xxhash64("annotation_id", F.rand(7)))
+    view = trace_unified(spans, rated, max_list, now=False, row_id="row_id")
+    assert gathered(view) == brute_force(skewed, annotations)
+    assert view.agg(F.max(F.size("spans"))).first()[0] <= max(3 * max_list, 10)
+    plan = view.where("trace_id = '7' and date = '2024-01-05'")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "parent_span_id" in line]
+    assert scans and all("EqualTo(trace_id,7)" in line for line in scans)
+
+
 def test_lists_are_bounded(skewed, annotations):
     view = trace_unified(skewed, annotations, max_list=50)
     longest, parts = view.agg(F.max(F.size("spans")), F.max("part")).first()
