@@ -395,6 +395,12 @@ ORACLE: dict[str, str] = {
     "stream_after_expiry": (
         f"SELECT {_LOG_DATE} AS date, CASE WHEN {_LOG_DATE} < DATE '2024-01-10' THEN 0 ELSE count(*) END AS raw_rows, "
         f"count(*) AS redacted_rows FROM documents WHERE {_LOG_DATE} < DATE '2024-01-15' GROUP BY {_LOG_DATE}"),
+    "published_tables": (
+        f"SELECT {_LOG_DATE} AS date, source AS service_name, count(*) AS rows FROM documents "
+        f"WHERE {_LOG_DATE} < DATE '2024-01-15' GROUP BY 1, 2"),
+    "expire_table": (
+        f"SELECT {_LOG_DATE} AS date, count(*) AS rows FROM documents "
+        f"WHERE {_LOG_DATE} >= DATE '2024-01-10' AND {_LOG_DATE} < DATE '2024-01-15' GROUP BY 1"),
     "source_counts": (
         "SELECT 'spans' AS kind, CAST(NULL AS BIGINT) AS rows UNION ALL "
         f"SELECT 'logs', count(*) FROM documents WHERE {_LOG_DATE} < DATE '2024-01-15' UNION ALL "

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,8 @@ from spanveil.operators.compare import raw_vs_redacted, unredacted_rows
 from spanveil.operators.layout import cluster
 from spanveil.operators.quality import coverage, leak_scan, recall
 from spanveil.operators.redact import redact_annotations, redact_logs, redact_spans
-from spanveil.operators.retention import expire, keep, plan_expiry
+from spanveil.operators.retention import expire, expire_table, keep, plan_expiry
+from spanveil.plans.catalog import create_raw_table, publish_tables
 from spanveil.plans.masked_view import masked_spans_view
 from spanveil.plans.trace_view import annotations_by_target, trace_unified, trace_unified_tags
 from spanveil.shared import shared_folder
@@ -354,8 +356,8 @@ def prompt_lines(spark, folder):
 def _filled_config(spark, folder, **settings) -> PipelineConfig:
     """Raw tables written to the shared folder, by day."""
     root = shared_folder(spark)
-    config = PipelineConfig(source_root=root, source_schema="raw", target_root=root,
-                            target_schema="clean", table_prefix="app", **settings)
+    config = PipelineConfig(**{"source_root": root, "source_schema": "raw", "target_root": root,
+                               "target_schema": "clean", "table_prefix": "app", **settings})
     first_days = F.col("date") < "2024-01-15"
     _write(_logs(spark, folder).where(first_days), config.raw_path("logs"))
     _annotations(spark, folder).write.parquet(config.raw_path("annotations"))
@@ -397,6 +399,23 @@ def stream_after_expiry(spark, folder):
         "date", F.coalesce("raw_rows", F.lit(0)).alias("raw_rows"), "redacted_rows")
 
 
+def published_tables(spark, folder):
+    """The redacted logs by their name in the catalog."""
+    config = _filled_config(spark, folder, target_schema=f"clean_{uuid.uuid4().hex}")
+    run(spark, config)
+    publish_tables(spark, config)
+    logs = spark.table(f"{config.target_schema}.redacted_logs")
+    return logs.groupBy("date", "service_name").agg(F.count("*").alias("rows"))
+
+
+def expire_catalog_table(spark, folder):
+    """Days left in a raw table after its old partitions are dropped."""
+    config = _filled_config(spark, folder, source_schema=f"raw_{uuid.uuid4().hex}")
+    name = create_raw_table(spark, config, "logs")
+    expire_table(spark, name, RETENTION, dt.date(2024, 1, 20))
+    return spark.table(name).groupBy("date").agg(F.count("*").alias("rows"))
+
+
 def source_counts(spark, folder):
     config = _filled_config(spark, folder)
     return spark.createDataFrame([(s.kind, s.rows) for s in check_sources(spark, config)],
@@ -458,6 +477,8 @@ QUERIES: dict[str, Query] = {
     "stream_incremental": stream_incremental,
     "stream_full_refresh": stream_full_refresh,
     "stream_after_expiry": stream_after_expiry,
+    "published_tables": published_tables,
+    "expire_table": expire_catalog_table,
     "source_counts": source_counts,
     "clustered_layout": clustered_layout,
 }

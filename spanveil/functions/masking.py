@@ -69,6 +69,13 @@ def apply_detector(text: Column, detector: Detector, policy: Policy) -> Column:
     return bind(text, lambda t: replace_each(t, detector.pattern, _digest(detector, policy)))
 
 
+def may_match(text: Column, detector: Detector) -> Column:
+    """A cheap test that is true for every text in which the detector finds something."""
+    if detector.needs == "@":
+        return F.contains(text, F.lit("@"))
+    return text.rlike("[0-9]") if detector.needs == "digit" else F.lit(True)
+
+
 def mask_text(text: Column, policy: Policy) -> Column:
     """Mask a text column; null stays null.
 
@@ -84,28 +91,26 @@ def mask_text(text: Column, policy: Policy) -> Column:
         return masked
 
     # Most texts lack the sign or the digits that most patterns need.
-    needs = {d.needs for d in found}
-    sign, digit = F.contains(text, F.lit("@")), text.rlike("[0-9]")
+    gates = {d.needs: may_match(text, d) for d in found}
 
     def by_digit(*present: str) -> Column:
-        if "digit" not in needs:
+        if "digit" not in gates:
             return chain(*present)
-        return F.when(digit, chain(*present, "digit")).otherwise(chain(*present))
+        return F.when(gates["digit"], chain(*present, "digit")).otherwise(chain(*present))
 
     if not found:
         return text
-    if "@" not in needs:
+    if "@" not in gates:
         return by_digit()
-    return F.when(sign, by_digit("@")).otherwise(by_digit())
+    return F.when(gates["@"], by_digit("@")).otherwise(by_digit())
 
 
 def any_hit(text: Column, policy: Policy) -> Column:
     """True if some detector finds something in the text."""
-    gates = {"@": F.contains(text, F.lit("@")), "digit": text.rlike("[0-9]")}
     hit = F.lit(False)
     for need in ("", "@", "digit"):
-        tests = [text.rlike(d.pattern) for d in detectors(policy) if d.needs == need]
-        if tests:
-            group = reduce(or_, tests)
-            hit = hit | (gates[need] & group if need else group)
+        group = [d for d in detectors(policy) if d.needs == need]
+        if group:
+            found = reduce(or_, (text.rlike(d.pattern) for d in group))
+            hit = hit | (may_match(text, group[0]) & found)
     return hit

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Policy
+from ..shared import stored
 from .detectors import Detector
 from .masking import _digest, token
 
@@ -39,21 +40,33 @@ def mask_listed_names(df: DataFrame, column: str, names: DataFrame, policy: Poli
                       key: str, max_literals: int = MAX_LITERALS) -> DataFrame:
     """Mask every listed name in a text column; ``names`` has one column ``name``.
 
-    A short list becomes a literal set, which needs no shuffle and also works on streams. A longer one is
-    joined with the names that occur, and the hits go back to their rows by ``key``.
+    A short list becomes a literal set, which needs no shuffle and also works on streams. A longer
+    one is first reduced to the names that occur. If there are still many, they are joined with
+    the rows, and the hits go back to their rows by ``key``.
     """
+    text, row = F.col(column), F.col(key)
     listed = names.select(F.lower(F.trim("name")).alias("name")).where("name != ''").distinct()
-    known = [row.name for row in listed.limit(max_literals + 1).collect()]
-    text = F.col(column)
+    known = _first(listed, max_literals + 1)
+    if len(known) > max_literals:
+        # A name may occur in a large share of the rows; the distinct ones are found before
+        # the shuffle, so the list meets each only once per task.
+        occurring = df.select(F.explode(candidates(text)).alias("name")).select(
+            F.lower("name").alias("name")).distinct()
+        listed = stored(listed.join(occurring, "name", "left_semi"))
+        known = _first(listed, max_literals + 1)
+    if not known:
+        return df
     if len(known) <= max_literals:
-        if not known:
-            return df
-        hits = F.filter(candidates(text), lambda c: F.lower(c).isin(known))
-        staged = df.withColumn("_hits", hits)
+        staged = df.withColumn(
+            "_hits", F.filter(candidates(text), lambda c: F.lower(c).isin(known)))
     else:
-        found = df.select(F.col(key), F.explode(candidates(text)).alias("_candidate"))
+        found = df.select(row, F.explode(candidates(text)).alias("_candidate"))
         hits = found.join(listed, F.lower("_candidate") == F.col("name")).groupBy(key).agg(
             F.collect_set("_candidate").alias("_hits"))
         staged = df.join(hits, key, "left").select(*(df[c] for c in df.columns), "_hits")
     masked = F.when(F.size("_hits") > 0, _mask_hits(text, F.col("_hits"), policy)).otherwise(text)
     return staged.select(*(masked.alias(c) if c == column else F.col(c) for c in df.columns))
+
+
+def _first(names: DataFrame, count: int) -> list[str]:
+    return [row.name for row in names.limit(count).collect()]

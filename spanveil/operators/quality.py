@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from ..config import Policy
 from ..functions.detectors import detectors
-from ..functions.masking import any_hit, apply_detector
+from ..functions.masking import any_hit, apply_detector, may_match
 from ..functions.nested import has_variant
 
 
@@ -33,12 +33,16 @@ def coverage(df: DataFrame, column: str, policy: Policy, table: str,
     staged = df.select(F.col(by).alias("by"),
                        _as_text(df, column).alias("text"))
     for i, detector in enumerate(found):
-        # One projection per category: the text before it is needed for both the count and
-        # the mask.
-        staged = staged.select(
-            "by", *(F.col(f"hits_{j}") for j in range(i)),
-            F.regexp_count("text", F.lit(detector.pattern)).alias(f"hits_{i}"),
-            apply_detector(F.col("text"), detector, policy).alias("text"))
+        # The text before a category is needed for both its count and its mask, and only texts with
+        # a hit are masked; hence the projections.
+        earlier = [F.col(f"hits_{j}") for j in range(i)]
+        count = F.regexp_count("text", F.lit(detector.pattern))
+        if detector.needs:
+            count = F.when(may_match(F.col("text"), detector), count).otherwise(0)
+        staged = staged.select("by", "text", *earlier, count.alias(f"hits_{i}"))
+        staged = staged.select("by", *earlier, f"hits_{i}", F.when(
+            F.col(f"hits_{i}") > 0, apply_detector(F.col("text"), detector, policy)).otherwise(
+            F.col("text")).alias("text"))
     sums = [F.count("*").alias("rows")]
     for i in range(len(found)):
         sums += [F.count_if(F.col(f"hits_{i}") > 0).alias(f"rows_{i}"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..config import TABLE_KINDS, PipelineConfig
+from ..schemas import BY_KIND
 from ..sources.tables import path_exists
 from ..streaming.pipeline import redacted_path
 
@@ -21,7 +22,7 @@ def publish_tables(spark: SparkSession, config: PipelineConfig) -> list[str]:
     The views read the folders through the log of the stream, so readers never see files of
     unfinished batches.
     """
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {config.target_schema}")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {config.target_schema} LOCATION '{config.target_path}'")
     published = []
     for kind in TABLE_KINDS:
         path = redacted_path(spark, config, kind)
@@ -38,9 +39,8 @@ def publish_tables(spark: SparkSession, config: PipelineConfig) -> list[str]:
 
 def create_raw_table(spark: SparkSession, config: PipelineConfig, kind: str) -> str:
     """Name a raw folder as a table that is partitioned by day, for expiry and SQL users."""
-    from ..schemas import BY_KIND
-
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {config.source_schema}")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {config.source_schema} "
+              f"LOCATION '{config.source_root}/{config.source_schema}'")
     name = f"{config.source_schema}.{config.raw_name(kind)}"
     schema = BY_KIND[kind]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
