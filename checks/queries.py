@@ -40,6 +40,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # the tables hold times without a zone
     return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 

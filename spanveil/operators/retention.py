@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig, parse_retention
-from ..sources.tables import day_folders, file_system, path_exists, read_raw
+from ..sources.tables import (day_folders, file_system, has_data_files, path_exists,
+                              read_raw)
 from .compare import unredacted_rows
 
 # Fixed value: annotations never expire by default.
@@ -56,7 +57,10 @@ def expire_folder(spark: SparkSession, path: str, retention,
     cutoff = _cutoff(spark, retention, as_of)
     if cutoff is None:
         return []
-    dropped = {day: folder for day, folder in day_folders(spark, path).items() if day < cutoff}
+    folders = day_folders(spark, path)
+    if not folders and has_data_files(spark, path):
+        raise ValueError(f"{path} is not partitioned by date, so its days cannot be dropped")
+    dropped = {day: folder for day, folder in folders.items() if day < cutoff}
     for folder in dropped.values():
         fs, folder_path = file_system(spark, folder)
         if not fs.delete(folder_path, True):

@@ -40,6 +40,22 @@ def day_folders(spark: SparkSession, path: str) -> dict[dt.date, str]:
     return days
 
 
+def has_data_files(spark: SparkSession, path: str) -> bool:
+    """True if files lie directly in the folder, not in one folder per day."""
+    if not path_exists(spark, path):
+        return False
+    fs, root = file_system(spark, path)
+    return any(s.isFile() and s.getPath().getName()[0] not in "_." for s in fs.listStatus(root))
+
+
+def table_days(spark: SparkSession, path: str) -> set[dt.date]:
+    """The days of a table, from its folders if it is partitioned, else from its rows."""
+    if not has_data_files(spark, path):
+        return set(day_folders(spark, path))
+    days = spark.read.parquet(path).select("date").where("date is not null").distinct()
+    return {row.date for row in days.toLocalIterator()}
+
+
 def read_raw(spark: SparkSession, config: PipelineConfig, kind: str) -> DataFrame:
     return spark.read.schema(BY_KIND[kind]).parquet(config.raw_path(kind))
 

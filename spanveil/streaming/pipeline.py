@@ -16,7 +16,7 @@ from ..config import TABLE_KINDS, PipelineConfig
 from ..operators.redact import REDACTORS
 from ..plans.trace_view import trace_unified
 from ..schemas import BY_KIND
-from ..sources.tables import day_folders, file_system, path_exists, stream_raw
+from ..sources.tables import file_system, path_exists, stream_raw, table_days
 
 _READY = "_READY"
 
@@ -83,7 +83,7 @@ def _writer(spark: SparkSession, config: PipelineConfig, kind: str, version: int
             where: Column | None) -> DataStreamWriter:
     base, name = _version_path(config, version), config.redacted_name(kind)
     redacted = redact_kind(stream_raw(spark, config, kind), config, kind, where)
-    writer = (redacted.writeStream.format("parquet").outputMode("append").queryName(f"{name}_v{version}")
+    writer = (redacted.writeStream.format("parquet").outputMode("append")
               .option("path", f"{base}/{name}")
               .option("checkpointLocation", f"{base}/_checkpoints/{name}"))
     return writer.partitionBy("date") if "date" in redacted.columns else writer
@@ -143,8 +143,8 @@ def full_refresh(spark: SparkSession, config: PipelineConfig, allow_loss: bool =
         for kind in _present(spark, config):
             if "date" not in BY_KIND[kind].names:
                 continue
-            lost = (day_folders(spark, redacted_path(spark, config, kind)).keys()
-                    - day_folders(spark, config.raw_path(kind)).keys())
+            lost = (table_days(spark, redacted_path(spark, config, kind))
+                    - table_days(spark, config.raw_path(kind)))
             if lost:
                 raise ValueError(f"raw {kind} no longer hold {len(lost)} redacted days, the first of "
                                  f"them {min(lost)}; a full refresh would lose them")

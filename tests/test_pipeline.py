@@ -90,6 +90,14 @@ def read_none(spark, config, kind):
     return spark.read.parquet(config.raw_path(kind)).where("false")
 
 
+def test_table_without_day_folders(spark, config, table):
+    logs_from_documents(table("documents")).write.parquet(config.raw_path("logs"))
+    with pytest.raises(ValueError, match="not partitioned"):
+        expire(spark, config, dt.date(2024, 1, 20))
+    assert run(spark, config).rows == {"logs": 200}
+    assert full_refresh(spark, config).rows == {"logs": 200}
+
+
 def test_full_refresh_applies_a_new_policy(spark, filled):
     run(spark, filled)
     assert current_version(spark, filled) == 1
