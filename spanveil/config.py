@@ -114,7 +114,7 @@ class PipelineConfig:
     retention_days: int | str | None = DEFAULT_RETENTION_DAYS
     mode: str = "triggered"
     trigger_interval: str = "1 minute"
-    max_bytes_per_trigger: str | None = None
+    max_bytes_per_trigger: str | None = "500g"  # a large backlog is committed in steps
 
     def __post_init__(self):
         for label in ("source_schema", "target_schema", "table_prefix"):

@@ -71,6 +71,21 @@ def test_a_pattern_cannot_break_json(spark):
     assert json.loads(v) == {"a": "[GREEDY]", "b": "ok", "c": {"d": "[GREEDY]"}}
 
 
+def test_long_values(spark):
+    document = {"a": "\n\"" * 100_000 + " bob@x.com", "b": ["x" * 200_000] * 3, "c": {"d": "\\" * 100_000}}
+    ((v, s),) = masked(spark, [json.dumps(document)], Policy(CATEGORIES))
+    assert json.loads(v) == json.loads(s) == {**document, "a": "\n\"" * 100_000 + " [EMAIL]"}
+    nested = json.dumps({"inner": json.dumps(document)})
+    ((v, _),) = masked(spark, [nested], Policy(CATEGORIES))
+    assert json.loads(json.loads(v)["inner"])["a"].endswith(" [EMAIL]")
+
+
+def test_many_values(spark):
+    document = {"list": [f"user{i}@x.com" for i in range(20_000)], **{f"k{i}": i for i in range(1000)}}
+    ((v, _),) = masked(spark, [json.dumps(document)], Policy(CATEGORIES))
+    assert json.loads(v) == {**document, "list": ["[EMAIL]"] * 20_000}
+
+
 _TEXT = st.one_of(st.text(max_size=20), st.sampled_from(["bob@x.com", "a\nbob@x.com", '"bob@x.com"', "\\bob@x.com",
                                                          "(415) 555-0123", "\\n415-555-0123"]))
 _JSON = st.recursive(st.one_of(_TEXT, st.integers(-10**15, 10**15), st.booleans(), st.none()),
