@@ -114,7 +114,7 @@ class PipelineConfig:
     retention_days: int | str | None = DEFAULT_RETENTION_DAYS
     mode: str = "triggered"
     trigger_interval: str = "1 minute"
-    max_bytes_per_trigger: str | None = "500g"  # a large backlog is committed in steps
+    max_bytes_per_trigger: int | None = 500 * 1024 ** 3  # a large backlog is committed in steps
 
     def __post_init__(self):
         for label in ("source_schema", "target_schema", "table_prefix"):
@@ -124,6 +124,9 @@ class PipelineConfig:
                 raise ValueError(f"{label} is required")
         if self.mode not in RUN_MODES:
             raise ValueError(f"mode must be one of {RUN_MODES}, not {self.mode!r}")
+        if self.max_bytes_per_trigger is not None and not (
+                isinstance(self.max_bytes_per_trigger, int) and self.max_bytes_per_trigger > 0):
+            raise ValueError("max_bytes_per_trigger must be a positive number of bytes")
         unknown = set(self.fields) - set(TABLE_KINDS)
         if unknown:
             raise ValueError(f"unknown tables in fields: {sorted(unknown)}")

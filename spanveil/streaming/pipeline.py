@@ -19,6 +19,7 @@ from ..schemas import BY_KIND
 from ..sources.tables import file_system, path_exists, stream_raw, table_days
 
 _READY = "_READY"
+_PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
 
 
 @dataclass(frozen=True)
@@ -97,6 +98,8 @@ def _process(spark: SparkSession, config: PipelineConfig, version: int,
              where: dict[str, Column]) -> RunReport:
     present = _present(spark, config)
     queries: dict[str, StreamingQuery] = {}
+    kept = spark.conf.get(_PROGRESS_KEPT)
+    spark.conf.set(_PROGRESS_KEPT, "1000000")  # the report adds up all batches of a backlog
     try:
         for kind in present:
             queries[kind] = _writer(spark, config, kind, version, where.get(kind)).trigger(
@@ -107,6 +110,7 @@ def _process(spark: SparkSession, config: PipelineConfig, version: int,
         for query in queries.values():
             if query.isActive:
                 query.stop()
+        spark.conf.set(_PROGRESS_KEPT, kept)
     rows = {kind: sum(p.numInputRows for p in query.recentProgress)
             for kind, query in queries.items()}
     return RunReport(version, rows, tuple(k for k in TABLE_KINDS if k not in present))

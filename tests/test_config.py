@@ -19,7 +19,7 @@ def test_names():
 
 @pytest.mark.parametrize("changed", [
     {"source_schema": "a-b"}, {"target_schema": ""}, {"table_prefix": "a b"}, {"source_root": ""},
-    {"mode": "sometimes"}, {"retention_days": "-1"}, {"fields": {"metrics": ()}}])
+    {"mode": "sometimes"}, {"retention_days": "-1"}, {"max_bytes_per_trigger": "5g"}, {"fields": {"metrics": ()}}])
 def test_bad_settings(changed):
     with pytest.raises(ValueError):
         config(**changed)

@@ -130,6 +130,14 @@ def test_continuous_mode(spark, filled, table):
     assert read_redacted(spark, config, "spans").count() == 1005
 
 
+def test_a_backlog_is_read_in_steps(spark, filled):
+    config = PipelineConfig(**{**filled.__dict__, "max_bytes_per_trigger": 30_000})
+    assert run(spark, config).rows == {"spans": 1000, "logs": 200}
+    log = pathlib.Path(f"{filled.target_path}/v1/_checkpoints/redacted_spans/commits")
+    assert len([f for f in log.iterdir() if f.name.isdigit()]) > 3
+    assert read_redacted(spark, config, "spans").count() == 1000
+
+
 def test_rows_can_be_filtered_before_masking(spark, filled):
     run(spark, filled, where={"spans": F.col("name") == "click"})
     names = read_redacted(spark, filled, "spans").select("name").distinct().collect()
