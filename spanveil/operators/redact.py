@@ -10,7 +10,7 @@ from ..functions.model import apply_model
 from ..functions.masking import mask_text
 from ..functions.nested import (mask_array_to_text, mask_json_text, mask_typed,
                                 mask_variant_to_text)
-from ..schemas import ANNOTATIONS, LOGS, SPANS
+from ..schemas import LOGS, SPANS
 
 _JSON_COLUMNS = ("attributes", "events")
 
