@@ -12,15 +12,14 @@ filters hardly see them.
 """
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
-from spanveil.llm.text import Hashes, map_texts, mixed, raw, written
+from spanveil.llm.text import cleared, dropped, map_texts, mixed, raw, slices, written
 
 WORDS = 5
 PERCENT = 75
@@ -32,22 +31,45 @@ BITS = 1 << 24
 _COUNTER_PARTS = 64
 
 
-@functools.cache
-def _hashes() -> Hashes:
-    return Hashes()
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
 
+def shingle_sets(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]:
+    """For each text the distinct 64-bit hashes of its runs of ``size`` words, sorted.
 
-def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
-    """Distinct 64-bit hashes of the runs of ``size`` words, sorted; of all words if there are fewer."""
-    tokens = raw(text).lower().split()
-    if not tokens:
-        return np.empty(0, np.uint64)
-    each = _hashes().of(tokens)
-    size = min(size, len(tokens))
-    gram = each[:len(each) - size + 1] + np.uint64(size)
+    A text with fewer words has one run of all of them, and a text without words none.
+    """
+    out, at = [], 0
+    while at < len(texts):
+        tokens: list[bytes] = []
+        ends = []
+        while at < len(texts) and len(tokens) < 50_000:
+            tokens += raw(texts[at]).lower().split()
+            ends.append(len(tokens))
+            at += 1
+        each = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+        grams = _rolled(each, size) if len(each) >= size else each[:0]
+        start = 0
+        for end in ends:
+            if end - start >= size:
+                found = grams[start:end - size + 1].copy()
+                found.sort()
+                new = np.ones(len(found), bool)
+                np.not_equal(found[1:], found[:-1], out=new[1:])
+                out.append(found[new])
+            else:
+                out.append(_rolled(each[start:end], end - start) if end > start else each[:0])
+            start = end
+    return out
+
+
+def _rolled(each: np.ndarray, size: int) -> np.ndarray:
+    n = len(each) - size + 1
+    gram = each[:n] + np.uint64(size)
     for k in range(1, size):
-        gram = mixed(gram, k) + each[k:len(each) - size + 1 + k]
-    return np.unique(mixed(gram))
+        gram *= _ODD
+        gram += each[k:k + n]
+    return mixed(gram)
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -80,11 +102,10 @@ def _common(docs: DataFrame) -> np.ndarray:
     def count(batches):
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                buckets = (shingles(text.as_py()) % np.uint64(COUNTERS)).astype(np.int64)
-                counts += np.bincount(buckets, minlength=COUNTERS) if len(buckets) > COUNTERS // 8 else 0
-                if len(buckets) <= COUNTERS // 8:
-                    np.add.at(counts, buckets, 1)
+            for part in slices(batch, "text"):
+                found = shingle_sets(part.column(0).to_pylist())
+                buckets = (np.concatenate(found) % np.uint64(COUNTERS)).astype(np.int64)
+                counts += np.bincount(buckets, minlength=COUNTERS)
         if counts.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(_COUNTER_PARTS), pa.int32()), pa.array(
                 [counts[p * width:(p + 1) * width].tobytes() for p in range(_COUNTER_PARTS)], pa.binary())], ["part", "counts"])
@@ -120,8 +141,7 @@ def _features(docs: DataFrame, common) -> DataFrame:
 
         def work(texts):
             out = {"n": [], "s1": [], "s2": [], "firsts": []}
-            for text in texts:
-                tokens = shingles(text)
+            for tokens in shingle_sets(texts):
                 out["n"].append(len(tokens))
                 out["s1"].append(int(_signed(mixed(tokens, 51)).sum()) if len(tokens) else 0)
                 out["s2"].append(int(_signed(np.bitwise_xor.reduce(mixed(tokens, 52), keepdims=True))[0]) if len(tokens) else 0)
@@ -137,7 +157,7 @@ def _features(docs: DataFrame, common) -> DataFrame:
 def _prefixes(docs: DataFrame, common, order: int) -> DataFrame:
     def make():
         bits = common.value
-        return lambda texts: {"tokens": [_signed(prefix(shingles(t), order, bits)) for t in texts]}
+        return lambda texts: {"tokens": [_signed(prefix(s, order, bits)) for s in shingle_sets(texts)]}
 
     return map_texts(docs, "text", make, [StructField("tokens", _LONGS, False)], ["doc_id"])
 
@@ -169,7 +189,7 @@ def _sets(docs: DataFrame, ids: DataFrame, common) -> DataFrame:
         common_bits = common.value
 
         def work(texts):
-            sets = [shingles(t) for t in texts]
+            sets = shingle_sets(texts)
             return {"tokens": [_signed(s) for s in sets], "second": [_signed(prefix(s, 1, common_bits)) for s in sets]}
 
         return work
@@ -186,14 +206,15 @@ def _similar(pairs: DataFrame, docs: DataFrame, common, percent: int = PERCENT)
     def side(c, what):
         return sets.select(F.col("doc_id").alias(c), F.col(what).alias(f"{what}_{c}"))
 
-    for what, test in (("second", F.arrays_overlap("second_a", "second_b")), ("tokens", None)):
-        both = pairs.join(side("a", what), "a").join(side("b", what), "b")
-        if test is None:
-            shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-            union = F.size("tokens_a") + F.size("tokens_b") - shared
-            test = shared.cast("long") * 100 >= union.cast("long") * percent
-        pairs = both.where(test).select("a", "b")
-    return written(pairs)
+    both = pairs.join(side("a", "second"), "a").join(side("b", "second"), "b")
+    close = written(both.where(F.arrays_overlap("second_a", "second_b")).select("a", "b"))
+    cleared(docs.sparkSession)
+    both = close.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b")
+    shared = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
+    similar = written(both.where(shared * 100 >= (F.size("tokens_a") + F.size("tokens_b") - shared) * percent).select("a", "b"))
+    dropped(sets)
+    cleared(docs.sparkSession)
+    return similar
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -235,7 +256,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     reps = members.where("doc_id = rep")
 
     first = reps.select("rep", "n", F.posexplode("firsts").alias("k", "token"))
-    heads = (first.groupBy("k", "token").agg(F.min_by(F.struct("rep", "n"), F.xxhash64("rep", "k")).alias("head"), F.count("*").alias("size"))
+    heads = (first.groupBy("k", "token").agg(F.min_by(F.struct("rep", "n"), F.xxhash64("rep")).alias("head"), F.count("*").alias("size"))
              .where("size > 1"))
     stars = (first.join(heads, ["k", "token"]).where(_sizes("n", "head.n", percent) & (F.col("rep") != F.col("head.rep")))
              .select(F.least("rep", "head.rep").alias("a"), F.greatest("rep", "head.rep").alias("b")).distinct())
@@ -244,10 +265,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                     .select("rep", "n", F.coalesce("component", "rep").alias("component")))
 
     tokens = (_prefixes(linked, common, 0).join(known, F.col("doc_id") == F.col("rep"))
-              .select(F.explode("tokens").alias("token"), "rep", "n", "component"))
+              .select(F.explode("tokens").alias("token"), "rep", "component"))
     split = (tokens.selectExpr("*", "min(component) over (partition by token) as low", "max(component) over (partition by token) as high")
-             .where("low <> high").select("token", "rep", "n", "component"))
-    split = written(split)
+             .where("low <> high").select("token", "rep", "component"))
+    split = written(written(split).join(known.select("rep", "n"), "rep"))
+    cleared(docs.sparkSession)
     left, right = split.alias("l"), split.alias("r")
     pairs = (left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.rep") < F.col("r.rep"))
                        & (F.col("l.component") != F.col("r.component")) & _sizes("l.n", "r.n", percent))

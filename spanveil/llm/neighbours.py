@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanveil.llm.text import written
+from spanveil.llm.text import cleared, written
 
 #: Neighbours that a node keeps while the graph is built; the search also uses as many that point to it.
 DEGREE = 20
@@ -207,7 +207,7 @@ def build_graph(nodes: DataFrame, width: int, n: int, degree: int = DEGREE, roun
         rows = _bucketed(_with_vectors(busy, state, degree), "u", n)
         offers = rows.groupBy("bucket").applyInArrow(lambda table: _join_offers(table, width), _OFFER)
         state = _merged(state, offers, n, degree)
-        nodes.sparkSession.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of the last round
+        cleared(nodes.sparkSession)
         new = state.select(F.sum(F.octet_length(F.translate(F.hex("fresh"), "0", "")))).first()[0] or 0
         if new < SETTLED * n * degree:
             break
@@ -308,7 +308,7 @@ def _walk(queries: DataFrame, graph: str, entries: tuple[np.ndarray, np.ndarray]
         offers = near.mapInArrow(score, _OFFER).where(F.octet_length("ids") > 0)
         both = state.unionByName(offers, allowMissingColumns=True)
         state = written(_bucketed(both, "id", n // 8).groupBy("bucket").applyInArrow(merge, _STATE))
-        spark.sparkContext._jvm.System.gc()
+        cleared(spark)
 
 
 def _asked(q: np.ndarray) -> np.ndarray:

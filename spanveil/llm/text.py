@@ -1,6 +1,7 @@
 """Helpers that the text operators share: words, hashes, tables in the shared folder, Arrow batches."""
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 
@@ -77,6 +78,12 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def cleared(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that are no longer referenced; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(batch: pa.RecordBatch, column: str):
     """Parts of a batch with a bounded number of text bytes, one row at least."""
     at = batch.schema.get_field_index(column)
