@@ -4,11 +4,13 @@ Orders of all shingles filter the pairs: two similar sets share one of the first
 each, whatever the order. Shingles that many texts share come last in every order, so the
 filters hardly see them.
 
+Similar sets share more than one such shingle: ``least_shared`` tells how many.
+
 1. Texts with the same set become one representative.
 2. The first shingle under several orders groups representatives. Each is compared with one
    member of its group, so groups of near copies join up in as many comparisons as members.
-3. The exact join looks for pairs between what has not joined up yet: pairs that share a prefix
-   shingle under one order and one under another order are compared in full.
+3. The exact join looks for pairs between what has not joined up yet: pairs that share enough
+   prefix shingles under one order and under another order are compared in full.
 """
 from __future__ import annotations
 
@@ -77,6 +79,17 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def least_shared(one: str, other: str, percent: int = PERCENT):
+    """So many shingles at least are in the prefixes of both of two similar sets, under any order.
+
+    Similar sets share m = t / (1 + t) * (a + b) shingles. Those up to the end of the prefix that
+    ends first are in both prefixes, and of that set fewer than t * size come later.
+    """
+    a, b = F.col(one), F.col(other)
+    total = F.ceil((a + b) * percent / (100 + percent) - 1e-9)
+    return F.greatest(total - F.ceil(F.greatest(a, b) * percent / 100 - 1e-9) + 1, F.lit(1))
+
+
 def ordered(tokens: np.ndarray, order: int, common: np.ndarray) -> np.ndarray:
     """Keys of shingles under an order; those in common buckets come last."""
     keys = mixed(tokens, 100 + order) >> np.uint64(1)
@@ -199,7 +212,7 @@ def _sets(docs: DataFrame, ids: DataFrame, common) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, common, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) that are similar: they must share a prefix shingle under order 1, then the sets are compared."""
+    """The pairs (a, b, with sizes na, nb) that are similar: they must share enough of the prefix under order 1, then the sets are compared."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = written(_sets(docs, ids, common))
 
@@ -207,7 +220,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, common, percent: int = PERCENT)
         return sets.select(F.col("doc_id").alias(c), F.col(what).alias(f"{what}_{c}"))
 
     both = pairs.join(side("a", "second"), "a").join(side("b", "second"), "b")
-    close = written(both.where(F.arrays_overlap("second_a", "second_b")).select("a", "b"))
+    close = written(both.where(F.size(F.array_intersect("second_a", "second_b")) >= least_shared("na", "nb", percent)).select("a", "b"))
     cleared(docs.sparkSession)
     both = close.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
@@ -259,7 +272,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     heads = (first.groupBy("k", "token").agg(F.min_by(F.struct("rep", "n"), F.xxhash64("rep")).alias("head"), F.count("*").alias("size"))
              .where("size > 1"))
     stars = (first.join(heads, ["k", "token"]).where(_sizes("n", "head.n", percent) & (F.col("rep") != F.col("head.rep")))
-             .select(F.least("rep", "head.rep").alias("a"), F.greatest("rep", "head.rep").alias("b")).distinct())
+             .select(F.array_sort(F.array(F.struct("rep", "n"), "head")).alias("pair"))
+             .select(*_pair("pair")).distinct())
     joined = components(_similar(written(stars), linked, common, percent))
     known = written(reps.select("rep", "n").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
                     .select("rep", "n", F.coalesce("component", "rep").alias("component")))
@@ -273,7 +287,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     left, right = split.alias("l"), split.alias("r")
     pairs = (left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.rep") < F.col("r.rep"))
                        & (F.col("l.component") != F.col("r.component")) & _sizes("l.n", "r.n", percent))
-             .select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct())
+             .groupBy(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"), F.col("l.n").alias("na"), F.col("r.n").alias("nb"))
+             .agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared("na", "nb", percent)))
     late = _similar(written(pairs), linked, common, percent)
     names = known.select("rep", "component")
     bridges = (late.join(names.toDF("a", "ca"), "a").join(names.toDF("b", "cb"), "b")
@@ -286,6 +301,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return found.unionByName(rest)
 
 
+def _pair(column: str):
+    """The two members of a sorted pair, with the sizes of their sets."""
+    return [F.col(column)[k][c].alias(name) for k, c, name in ((0, "rep", "a"), (1, "rep", "b"), (0, "n", "na"), (1, "n", "nb"))]
+
+
 def _sizes(one: str, other: str, percent: int):
     """Sets of such sizes can be similar."""
     return F.least(one, other) * 100 >= F.greatest(one, other) * percent
