@@ -9,15 +9,16 @@ Similar sets share more than one such shingle: ``least_shared`` tells how many.
 1. Texts with the same set become one representative.
 2. The first shingle under several orders groups representatives. Each is compared with one
    member of its group, so groups of near copies join up in as many comparisons as members.
-3. The exact join looks for pairs between what has not joined up yet: pairs that share enough
-   prefix shingles under one order and under another order are compared in full.
+3. The exact join looks for pairs between what has not joined up yet. Members of one group
+   are compared block by block inside tasks, which pass on no more links than join components
+   up. Others are compared if they share enough prefix shingles under one order and under another.
 """
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
@@ -31,6 +32,8 @@ FIRSTS = 6
 COUNTERS = 1 << 20
 BITS = 1 << 24
 _COUNTER_PARTS = 64
+#: Texts in a block.
+BLOCK = 256
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -211,25 +214,75 @@ def _sets(docs: DataFrame, ids: DataFrame, common) -> DataFrame:
     return map_texts(chosen, "text", make, [StructField("tokens", _LONGS, False), StructField("second", _LONGS, False)], ["doc_id"])
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, common, percent: int = PERCENT) -> DataFrame:
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, with sizes na, nb) that are similar: they must share enough of the prefix under order 1, then the sets are compared."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(_sets(docs, ids, common))
-
     def side(c, what):
         return sets.select(F.col("doc_id").alias(c), F.col(what).alias(f"{what}_{c}"))
 
     both = pairs.join(side("a", "second"), "a").join(side("b", "second"), "b")
     close = written(both.where(F.size(F.array_intersect("second_a", "second_b")) >= least_shared("na", "nb", percent)).select("a", "b"))
-    cleared(docs.sparkSession)
     both = close.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
     similar = written(both.where(shared * 100 >= (F.size("tokens_a") + F.size("tokens_b") - shared) * percent).select("a", "b"))
-    dropped(sets)
-    cleared(docs.sparkSession)
+    cleared(pairs.sparkSession)
     return similar
 
 
+def _joining(table: pa.Table, percent: int) -> pa.Table:
+    """Similar pairs between two blocks that join up different components, as few as that takes."""
+    name, component, block = (table[c].to_numpy() for c in ("rep", "component", "block"))
+    low = block.min()
+    tokens = [np.sort(t.values.to_numpy()) for t in table["tokens"].combine_chunks()]
+    left = np.flatnonzero(block == low)
+    right = np.flatnonzero(block != low) if (block != low).any() else left
+    owner = np.repeat(np.arange(len(right)), [len(tokens[i]) for i in right])
+    pool = np.concatenate([tokens[i] for i in right])
+    order = np.argsort(pool, kind="stable")
+    pool, owner = pool[order], owner[order]
+    sizes = np.array([len(tokens[i]) for i in right])
+    parent = {c: c for c in np.unique(component).tolist()}
+
+    def top(c):
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    links = []
+    for i in left.tolist():
+        start, end = np.searchsorted(pool, tokens[i], "left"), np.searchsorted(pool, tokens[i], "right")
+        many = end - start
+        at = np.repeat(start - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
+        shared = np.bincount(owner[at], minlength=len(right))
+        similar = shared * 100 >= (len(tokens[i]) + sizes - shared) * percent
+        for j in right[similar].tolist():
+            one, other = top(int(component[i])), top(int(component[j]))
+            if one != other:
+                parent[max(one, other)] = min(one, other)
+                links.append((int(name[i]), int(name[j])))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+
+def _within(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members (rep, component) of the same cluster, enough to join up all that similar pairs join.
+
+    Members of a cluster with several components form blocks of a fixed size, and each pair of
+    blocks is one group; blocks of one and the same component don't meet.
+    """
+    turn = F.row_number().over(Window.partitionBy("cluster").orderBy("component", "rep"))
+    blocks = written(members.withColumn("block", F.floor((turn - 1) / BLOCK)))
+    sums = blocks.groupBy("cluster", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    other = sums.select("cluster", *[F.col(c).alias(f"{c}_2") for c in ("block", "low", "high")])
+    meet = (sums.join(other, "cluster").where("block <= block_2 and not (low = high and low_2 = high_2 and low = low_2)")
+            .select("cluster", "block", "block_2"))
+    sides = meet.select("cluster", "block", "block_2", F.explode(F.array_distinct(F.array("block", "block_2"))).alias("side"))
+    rows = (sides.join(blocks.withColumnRenamed("block", "side"), ["cluster", "side"])
+            .join(sets.select(F.col("doc_id").alias("rep"), "tokens"), "rep")
+            .select("cluster", F.col("block").alias("one"), F.col("block_2").alias("two"), F.col("side").alias("block"), "rep", "component", "tokens"))
+    found = written(rows.groupBy("cluster", "one", "two").applyInArrow(lambda table: _joining(table, percent), "a long, b long"))
+    cleared(members.sparkSession)
+    return found
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and component (its smallest node) of the graph of undirected links (a, b).
 
@@ -271,31 +324,36 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = reps.select("rep", "n", F.posexplode("firsts").alias("k", "token"))
     heads = (first.groupBy("k", "token").agg(F.min_by(F.struct("rep", "n"), F.xxhash64("rep")).alias("head"), F.count("*").alias("size"))
              .where("size > 1"))
-    stars = (first.join(heads, ["k", "token"]).where(_sizes("n", "head.n", percent) & (F.col("rep") != F.col("head.rep")))
-             .select(F.array_sort(F.array(F.struct("rep", "n"), "head")).alias("pair"))
-             .select(*_pair("pair")).distinct())
-    joined = components(_similar(written(stars), linked, common, percent))
-    known = written(reps.select("rep", "n").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-                    .select("rep", "n", F.coalesce("component", "rep").alias("component")))
+    grouped = written(first.join(heads, ["k", "token"]).select("rep", "n", "head").distinct())
+    stars = (grouped.where(_sizes("n", "head.n", percent) & (F.col("rep") != F.col("head.rep")))
+             .select(F.array_sort(F.array(F.struct("rep", "n"), "head")).alias("pair")).select(*_pair("pair")).distinct())
+    sets = written(_sets(linked, grouped.select(F.col("rep").alias("doc_id")).distinct(), common))
+    joined = components(_similar(stars, sets, percent))
+    clusters = grouped.groupBy("rep").agg(F.min_by("head.rep", F.xxhash64("head.rep")).alias("cluster"))
+    known = written(_named(reps.select("rep", "n"), joined).join(clusters, "rep", "left")
+                    .select("rep", "n", "component", F.coalesce("cluster", "rep").alias("cluster")))
+    mixed_up = known.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    inner = _within(known.join(mixed_up.select("cluster"), "cluster").select("cluster", "rep", "component"), sets, percent)
+    dropped(sets)
+    known = written(_bridged(known, inner))
 
     tokens = (_prefixes(linked, common, 0).join(known, F.col("doc_id") == F.col("rep"))
-              .select(F.explode("tokens").alias("token"), "rep", "component"))
-    split = (tokens.selectExpr("*", "min(component) over (partition by token) as low", "max(component) over (partition by token) as high")
-             .where("low <> high").select("token", "rep", "component"))
-    split = written(written(split).join(known.select("rep", "n"), "rep"))
+              .select(F.explode("tokens").alias("token"), "rep", "cluster"))
+    split = written(tokens.selectExpr("*", "min(cluster) over (partition by token) as low", "max(cluster) over (partition by token) as high")
+                    .where("low <> high").select("token", "rep"))
+    split = written(split.join(known, "rep"))
     cleared(docs.sparkSession)
     left, right = split.alias("l"), split.alias("r")
     pairs = (left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.rep") < F.col("r.rep"))
-                       & (F.col("l.component") != F.col("r.component")) & _sizes("l.n", "r.n", percent))
+                       & (F.col("l.component") != F.col("r.component")) & (F.col("l.cluster") != F.col("r.cluster"))
+                       & _sizes("l.n", "r.n", percent))
              .groupBy(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"), F.col("l.n").alias("na"), F.col("r.n").alias("nb"))
              .agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared("na", "nb", percent)))
-    late = _similar(written(pairs), linked, common, percent)
-    names = known.select("rep", "component")
-    bridges = (late.join(names.toDF("a", "ca"), "a").join(names.toDF("b", "cb"), "b")
-               .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    final = components(bridges)
-    whole = (known.join(final.toDF("component", "final"), "component", "left")
-             .select("rep", F.coalesce("final", "component").alias("component_id")))
+    pairs = written(pairs)
+    sets = written(_sets(linked, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), common))
+    late = _similar(pairs, sets, percent)
+    dropped(sets)
+    whole = _bridged(known, late).select("rep", F.col("component").alias("component_id"))
     found = members.select("doc_id", "rep", "n").join(whole, "rep").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     rest = features.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return found.unionByName(rest)
@@ -306,6 +364,21 @@ def _pair(column: str):
     return [F.col(column)[k][c].alias(name) for k, c, name in ((0, "rep", "a"), (1, "rep", "b"), (0, "n", "na"), (1, "n", "nb"))]
 
 
+def _named(reps: DataFrame, joined: DataFrame) -> DataFrame:
+    """Representatives with their component; those without links are their own."""
+    return (reps.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+            .withColumn("component", F.coalesce("component", "rep")))
+
+
+def _bridged(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known`` with the components that links between representatives join up."""
+    names = known.select("rep", "component")
+    bridges = (links.join(names.toDF("a", "ca"), "a").join(names.toDF("b", "cb"), "b")
+               .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    final = components(bridges).toDF("component", "final")
+    return known.join(final, "component", "left").withColumn("component", F.coalesce("final", "component")).drop("final")
+
+
 def _sizes(one: str, other: str, percent: int):
     """Sets of such sizes can be similar."""
     return F.least(one, other) * 100 >= F.greatest(one, other) * percent
