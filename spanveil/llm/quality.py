@@ -1,16 +1,16 @@
 """Quality of texts: support vectors over n-gram indicators that are scaled by naive Bayes log-count ratios."""
 from __future__ import annotations
 
-import functools
 import math
 import re
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField
 
-from spanveil.llm.text import Hashes, labelled_sample, map_texts, mixed
+from spanveil.llm.text import labelled_sample, map_texts, mixed, raw
 
 #: Labelled documents to learn from, at most.
 SAMPLE = 8_000
@@ -32,24 +32,19 @@ class Model:
 class _Words(dict):
     """Hashes of a word and of its shape: kinds of letters, runs taken together."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
-        self.limit, self.hashes = limit, Hashes()
+        self.limit = limit
 
     def __missing__(self, word: str) -> tuple[int, int]:
         if len(self) >= self.limit:
             self.clear()
         kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:40])
         shape = _RUN.sub(r"\1\1", kinds)
-        pair = self[word] = (self.hashes[word.lower().encode("utf-8", "surrogatepass")], self.hashes[shape.encode("utf-8", "surrogatepass")])
+        pair = self[word] = (xxhash.xxh3_64_intdigest(raw(word.lower())), xxhash.xxh3_64_intdigest(raw(shape)))
         return pair
 
 
-@functools.cache
-def _cache() -> _Words:
-    return _Words()
-
-
 def features(text: str | None, cache: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams in a text: one and two words, and one to four word shapes.
 
@@ -58,8 +53,7 @@ def features(text: str | None, cache: _Words) -> tuple[np.ndarray, np.ndarray]:
     tokens = (text or "").split()
     if not tokens:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    pairs = np.array([cache[t] for t in tokens], np.uint64)
-    word, shape = pairs[:, 0], pairs[:, 1].copy()
+    word, shape = (np.fromiter(column, np.uint64, len(tokens)) for column in zip(*map(cache.__getitem__, tokens)))
     shape[1:] += np.uint64(77) * (word[1:] == word[:-1])
     out = []
     for values, most, seed in ((word, 2, 1), (shape, 4, 9)):
@@ -128,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     classes, the model gives every text the smoothed share of label 1.
     """
     def make():
-        cache = _cache()
+        cache = _Words()
 
         def work(texts):
             found = [features(t, cache) for t in texts]
@@ -176,7 +170,7 @@ def score_quality(docs: DataFrame, model: Model, keep: list[str] | None = None)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        cache, m = _cache(), shared.value
+        cache, m = _Words(), shared.value
 
         def score(text):
             at, values = _vector(text, cache)

@@ -8,7 +8,6 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
@@ -29,23 +28,6 @@ def words(text: str | None) -> list[bytes]:
     return raw(text).translate(_WORD_BYTES).split()
 
 
-class Hashes(dict):
-    """64-bit hash of a word, the same in all processes. Remembers words up to a bounded number."""
-
-    def __init__(self, limit: int = 1_000_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, items: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, items), np.uint64, len(items))
-
-
 def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """Spread 64-bit values evenly; each seed gives an order of its own."""
     x = values + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % 2**64)
