@@ -1,6 +1,8 @@
 """Licence notices and identifier tags in texts."""
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 
 from pyspark.sql import DataFrame
@@ -101,7 +103,7 @@ def evaluate(expression: str) -> tuple[set[str], float] | None:
 
 _OUT = [StructField("n_words", LongType(), False),
         StructField("places", ArrayType(StructType([StructField("label", StringType()), StructField("start", IntegerType()),
-                                                    StructField("base", IntegerType())])), False),
+                                                    StructField("base", IntegerType()), StructField("end", IntegerType())])), False),
         StructField("expressions", ArrayType(StructType([StructField("expression", StringType()), StructField("labels", ArrayType(StringType())),
                                                          StructField("freedom", DoubleType())])), False)]
 
@@ -109,8 +111,8 @@ _OUT = [StructField("n_words", LongType(), False),
 def scan_licenses(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Adds ``n_words``, ``places`` (label, first word, 1 for a base phrase) and ``expressions``.
 
-    One automaton finds all phrases in the words of a text; a phrase inside a longer one counts
-    for itself. After the words of the tag, the rest of the line is an expression. A
+    One automaton finds all phrases in the words of a text; a notice inside a longer phrase
+    doesn't count, a base phrase does. After the words of the tag, the rest of the line is an expression. A
     malformed expression has the label ``unparsed`` and the freedom of an unknown licence. Null
     and empty texts have no words, places or expressions. Rows are taken one by one.
     """
@@ -122,6 +124,12 @@ def scan_licenses(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         for phrase, (label, base) in phrases.items():
             automaton.add_word(f" {phrase} ", (len(phrase) + 1, label, base))
         automaton.make_automaton()
+        phrase_words = {(label, base): len(phrase.split()) for phrase, (label, base) in phrases.items()}
+
+        def near(places, place):
+            at = bisect.bisect_left(places, place["start"] - 8, key=lambda p: p["end"])
+            return itertools.takewhile(lambda p: p["end"] <= place["end"] + 8, places[at:at + 64])
+
         tag = re.compile(r"spdx[\W_]+license[\W_]+identifier[\x20\t]*:[\x20\t]*([^\r\n]*)", re.IGNORECASE | re.ASCII)
         expression = re.compile(r"[\sA-Za-z0-9.+:()-]+", re.ASCII)
 
@@ -146,11 +154,12 @@ def scan_licenses(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
                     number += line.count(" ", at, start) if start >= at else -line.count(" ", start, at)
                     at = start
                     if label:
-                        places.append({"label": label, "start": number, "base": base})
+                        places.append({"label": label, "start": number, "base": base, "end": number + phrase_words[label, base]})
                     else:
                         tagged = True
                 out["n_words"].append(len(tokens))
-                out["places"].append(places)
+                out["places"].append([p for p in places if p["base"] or not any(
+                    q["start"] <= p["start"] and p["end"] <= q["end"] and q["end"] - q["start"] > p["end"] - p["start"] for q in near(places, p))])
                 out["expressions"].append(expressions(text) if tagged else [])
             return out
 

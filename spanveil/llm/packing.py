@@ -17,7 +17,7 @@ END = 0
 SHARD = 20_000
 #: Sequences with more free places than this are opened again in the next round.
 SLACK = 8
-_CHUNKS = 700_000
+_CHUNKS = 200_000
 _MARKS = ".,!?;:*#$%&|"
 
 

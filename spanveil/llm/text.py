@@ -16,7 +16,7 @@ from pyspark.sql.types import StructField, StructType
 #: A-Z become a-z; ASCII that is neither letter nor digit separates words; other bytes stay.
 _WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
                     for c in range(256))
-_BATCH_BYTES = 8_000_000
+_BATCH_BYTES = 4_000_000
 
 
 def raw(text: str | None) -> bytes:
