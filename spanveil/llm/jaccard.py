@@ -195,23 +195,19 @@ def _sets(docs: DataFrame, ids: DataFrame, common) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def pick(batches):
-        bits = shared.value
+        bits, at_end = shared.value, common.value
         for batch in batches:
             at = batch.column(2).to_numpy()
             needed = pa.array(((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool))
-            yield batch.filter(needed).select([0, 1])
-
-    def make():
-        common_bits = common.value
-
-        def work(texts):
-            sets = shingle_sets(texts)
-            return {"tokens": [_signed(s) for s in sets], "second": [_signed(prefix(s, 1, common_bits)) for s in sets]}
-
-        return work
-
-    chosen = docs.select("doc_id", "text", _bit("doc_id").alias("bit")).mapInArrow(pick, docs.select("doc_id", "text").schema)
-    return map_texts(chosen, "text", make, [StructField("tokens", _LONGS, False), StructField("second", _LONGS, False)], ["doc_id"])
+            for part in slices(batch.filter(needed), "text"):
+                found = shingle_sets(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([_signed(s) for s in found], pa.list_(pa.int64())),
+                     pa.array([_signed(prefix(s, 1, at_end)) for s in found], pa.list_(pa.int64()))], ["doc_id", "tokens", "second"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", _bit("doc_id").alias("bit")).mapInArrow(
+        pick, f"doc_id {kind}, tokens array<bigint>, second array<bigint>")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
