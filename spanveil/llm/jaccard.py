@@ -7,8 +7,8 @@ filters hardly see them.
 Similar sets share more than one such shingle: ``least_shared`` tells how many.
 
 1. Texts with the same set become one representative.
-2. The first shingle under several orders groups representatives. Each is compared with one
-   member of its group, so groups of near copies join up in as many comparisons as members.
+2. The first shingle under several orders groups representatives. Each is compared with the
+   member of its group whose groups are largest, the most central one, so groups of near copies join up in as many comparisons as members.
 3. The exact join looks for pairs between what has not joined up yet. Members of one group
    are compared block by block inside tasks, which pass on no more links than join components
    up. Others are compared if they share enough prefix shingles under one order and under another.
@@ -29,7 +29,7 @@ PERCENT = 75
 #: Orders whose first shingle groups texts in step 2.
 FIRSTS = 6
 #: Counters for shingle frequencies, and bits to remember which texts a join needs: fixed sizes.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 22
 BITS = 1 << 24
 _COUNTER_PARTS = 64
 #: Texts in a block.
@@ -116,12 +116,12 @@ def _common(docs: DataFrame) -> np.ndarray:
     width = COUNTERS // _COUNTER_PARTS
 
     def count(batches):
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, np.int32)
         for batch in batches:
             for part in slices(batch, "text"):
                 found = shingle_sets(part.column(0).to_pylist())
                 buckets = (np.concatenate(found) % np.uint64(COUNTERS)).astype(np.int64)
-                counts += np.bincount(buckets, minlength=COUNTERS)
+                counts += np.bincount(buckets, minlength=COUNTERS).astype(np.int32)
         if counts.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(_COUNTER_PARTS), pa.int32()), pa.array(
                 [counts[p * width:(p + 1) * width].tobytes() for p in range(_COUNTER_PARTS)], pa.binary())], ["part", "counts"])
@@ -129,7 +129,7 @@ def _common(docs: DataFrame) -> np.ndarray:
     def add(frame):
         total = np.zeros(width, np.int64)
         for data in frame["counts"]:
-            total += np.frombuffer(data, np.int64)
+            total += np.frombuffer(data, np.int64 if len(data) == 8 * width else np.int32)
         frame = frame.head(1).copy()
         frame["counts"] = [total.tobytes()]
         return frame
@@ -140,7 +140,7 @@ def _common(docs: DataFrame) -> np.ndarray:
     for part, data in rows:
         counts[part * width:(part + 1) * width] = np.frombuffer(data, np.int64)
     usual = counts.mean()
-    return np.packbits(counts > usual + 8 * np.sqrt(usual) + 20, bitorder="little")
+    return np.packbits(counts > usual + 5 * np.sqrt(usual) + 10, bitorder="little")
 
 
 _LONGS = ArrayType(LongType(), False)
@@ -318,14 +318,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     reps = members.where("doc_id = rep")
 
     first = reps.select("rep", "n", F.posexplode("firsts").alias("k", "token"))
-    heads = (first.groupBy("k", "token").agg(F.min_by(F.struct("rep", "n"), F.xxhash64("rep")).alias("head"), F.count("*").alias("size"))
-             .where("size > 1"))
+    sizes = first.groupBy("k", "token").agg(F.count("*").alias("size")).where("size > 1")
+    first = written(first.join(sizes, ["k", "token"]))
+    central = first.groupBy("rep").agg(F.sum(F.log("size")).alias("centre"))
+    first = first.join(central, "rep")
+    member = F.struct(F.round("centre", 6).alias("centre"), F.xxhash64("rep").alias("turn"), "rep", "n")
+    heads = first.groupBy("k", "token").agg(F.max(member).alias("head"))
     grouped = written(first.join(heads, ["k", "token"]).select("rep", "n", "head").distinct())
     stars = (grouped.where(_sizes("n", "head.n", percent) & (F.col("rep") != F.col("head.rep")))
-             .select(F.array_sort(F.array(F.struct("rep", "n"), "head")).alias("pair")).select(*_pair("pair")).distinct())
+             .select(F.array_sort(F.array(F.struct("rep", "n"), F.struct("head.rep", "head.n"))).alias("pair")).select(*_pair("pair")).distinct())
     sets = written(_sets(linked, grouped.select(F.col("rep").alias("doc_id")).distinct(), common))
     joined = components(_similar(stars, sets, percent))
-    clusters = grouped.groupBy("rep").agg(F.min_by("head.rep", F.xxhash64("head.rep")).alias("cluster"))
+    clusters = grouped.groupBy("rep").agg(F.max("head")["rep"].alias("cluster"))
     known = written(_named(reps.select("rep", "n"), joined).join(clusters, "rep", "left")
                     .select("rep", "n", "component", F.coalesce("cluster", "rep").alias("cluster")))
     mixed_up = known.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
