@@ -252,13 +252,15 @@ def _recall() -> str:
              "account", "employee")
     truth = " UNION ALL ".join(
         f"SELECT '{k}' AS category, {k} AS value, {'false' if k in ('account', 'employee') else 'true'} AS sensitive, "
-        f"t.text, m.text AS masked FROM notes JOIN t USING (note_id) JOIN m USING (note_id) "
+        f"t.text, m.text AS masked, m.note_id IS NOT NULL AS found FROM notes JOIN t USING (note_id) "
+        f"LEFT JOIN m ON m.note_id = notes.note_id "
         f"WHERE contains(t.text, {k})" for k in known)
     return (_WITH_NOTES + ", t AS (" + _notes({}) + "), m AS (" + _notes(_tokens(*_CATEGORIES)) + "), truth AS ("
             + truth + ") SELECT category, count(*) FILTER (sensitive) AS sensitive_values, "
             "count(*) FILTER (sensitive AND NOT contains(masked, value)) AS masked_values, "
             "count(*) FILTER (NOT sensitive) AS harmless_values, "
             "count(*) FILTER (NOT sensitive AND contains(masked, value)) AS kept_values, "
+            "count(*) FILTER (NOT found) AS missing_values, "
             "round(count(*) FILTER (sensitive AND NOT contains(masked, value)) / "
             "nullif(count(*) FILTER (sensitive), 0), 4) AS recall, "
             "round(count(*) FILTER (NOT sensitive AND contains(masked, value)) / "

@@ -93,12 +93,13 @@ def recall(truth: DataFrame, redacted: DataFrame, key: str, text: str) -> DataFr
     """How many known values are gone from the redacted text.
 
     ``truth`` has the columns (key, category, value, sensitive). Sensitive values
-    should be gone (recall), others should still be there (precision).
+    should be gone (recall), others should still be there (precision). A value whose record is
+    not in the redacted table counts as missing, and neither as masked nor as kept.
     """
     # Equal rows are counted first, so copies of a record do not multiply in the join.
     weighted = truth.groupBy(key, "category", "value", "sensitive").agg(F.count("*").alias("n"))
-    texts = redacted.select(key, F.col(text).alias("masked_text")).distinct()
-    joined = weighted.join(texts, key)
+    texts = redacted.select(key, F.col(text).alias("masked_text"), F.lit(True).alias("found")).distinct()
+    joined = weighted.join(texts, key, "left")
     kept = F.contains("masked_text", "value")
 
     def total(condition: Column) -> Column:
@@ -108,7 +109,8 @@ def recall(truth: DataFrame, redacted: DataFrame, key: str, text: str) -> DataFr
         total(F.col("sensitive")).alias("sensitive_values"),
         total(F.col("sensitive") & ~kept).alias("masked_values"),
         total(~F.col("sensitive")).alias("harmless_values"),
-        total(~F.col("sensitive") & kept).alias("kept_values"))
+        total(~F.col("sensitive") & kept).alias("kept_values"),
+        total(F.col("found").isNull()).alias("missing_values"))
     return counted.select(
         "*", F.round(F.try_divide("masked_values", "sensitive_values"), 4).alias("recall"),
         F.round(F.try_divide("kept_values", "harmless_values"), 4).alias("kept_share"))

@@ -48,6 +48,14 @@ def test_recall_with_copies(spark):
     assert rows["id"]["kept_share"] == 1.0 and rows["id"]["recall"] is None
 
 
+def test_recall_counts_missing_records(spark):
+    truth = spark.createDataFrame([(1, "email", "a@b.co", True), (2, "email", "c@d.co", True)],
+                                  "k int, category string, value string, sensitive boolean")
+    text = spark.createDataFrame([(1, "[EMAIL]")], "k int, t string")
+    row = recall(truth, text, "k", "t").first()
+    assert (row["sensitive_values"], row["masked_values"], row["missing_values"], row["recall"]) == (2, 1, 1, 0.5)
+
+
 @pytest.mark.parametrize("max_literals", [0, 100])
 def test_listed_names(spark, max_literals):
     df = spark.createDataFrame([
