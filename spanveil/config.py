@@ -64,6 +64,14 @@ def parse_retention(value) -> int | None:
     return int(text)
 
 
+def _matches_nothing(pattern: str) -> bool:
+    """Whether a pattern matches the empty text, as far as Python reads the syntax of Spark's patterns."""
+    try:
+        return re.fullmatch(pattern, "") is not None
+    except re.error:
+        return False
+
+
 @dataclass(frozen=True)
 class Policy:
     """What counts as personal data and what replaces it."""
@@ -84,6 +92,8 @@ class Policy:
             identifier("custom pattern name", name)
             if not pattern:
                 raise ValueError(f"custom pattern {name!r} is empty")
+            if _matches_nothing(pattern):
+                raise ValueError(f"custom pattern {name!r} matches the empty text, so it would put a token between all characters")
         if self.mode not in REDACTION_MODES:
             raise ValueError(f"mode must be one of {REDACTION_MODES}, not {self.mode!r}")
         if self.mode == "hash" and not self.salt:

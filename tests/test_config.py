@@ -28,7 +28,7 @@ def test_bad_settings(changed):
 @pytest.mark.parametrize("options", [
     {"categories": ("email", "shoe_size")}, {"mode": "encrypt"}, {"mode": "hash"},
     {"mask_character": "$"}, {"mask_character": '"'}, {"mask_character": "\\"}, {"mask_character": "**"},
-    {"custom_patterns": {"a b": "x"}}, {"custom_patterns": {"a": ""}}, {"events_as": "xml"}])
+    {"custom_patterns": {"a b": "x"}}, {"custom_patterns": {"a": ""}}, {"custom_patterns": {"a": "a*"}}, {"events_as": "xml"}])
 def test_bad_policies(options):
     with pytest.raises(ValueError):
         Policy(**options)
