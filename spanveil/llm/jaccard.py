@@ -82,15 +82,42 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def _part(count, over: int, under: int):
+    """``count * over / under``, rounded up, in whole numbers."""
+    return F.floor((count * over + (under - 1)) / F.lit(under)).cast("long")
+
+
+def _least_common(a, b, percent: int):
+    """So many shingles at least do similar sets of sizes ``a`` and ``b`` share: t / (1 + t) * (a + b)."""
+    return _part(a + b, percent, 100 + percent)
+
+
+def short_prefix(n, percent: int = PERCENT):
+    """So many shingles come first that a similar set of the same size or a larger one has one of them in its prefix."""
+    return n - _least_common(n, n, percent) + 1
+
+
 def least_shared(one: str, other: str, percent: int = PERCENT):
     """So many shingles at least are in the prefixes of both of two similar sets, under any order.
 
-    Similar sets share m = t / (1 + t) * (a + b) shingles. Those up to the end of the prefix that
-    ends first are in both prefixes, and of that set fewer than t * size come later.
+    Shared shingles up to the end of the prefix that ends first are in both prefixes, and of
+    that set fewer than t * size come later.
     """
     a, b = F.col(one), F.col(other)
-    total = F.ceil((a + b) * percent / (100 + percent) - 1e-9)
-    return F.greatest(total - F.ceil(F.greatest(a, b) * percent / 100 - 1e-9) + 1, F.lit(1))
+    return F.greatest(_least_common(a, b, percent) - _part(F.greatest(a, b), percent, 100) + 1, F.lit(1))
+
+
+def least_shared_short(small: str, large: str, percent: int = PERCENT):
+    """The same for the short prefix of the smaller set and the prefix of the larger one."""
+    a, b = F.col(small), F.col(large)
+    later = F.greatest(_least_common(a, a, percent), _part(b, percent, 100))
+    return F.greatest(_least_common(a, b, percent) - later + 1, F.lit(1))
+
+
+def _in_reach(small: str, large: str, percent: int):
+    """A shared shingle at places ``small.at`` and ``large.at`` of an order leaves room for enough others before and after it."""
+    a, b, i, j = (F.col(f"{side}.{c}") for c in ("n", "at") for side in (small, large))
+    return F.least(i, j) + 1 + F.least(a - i, b - j) - 1 >= _least_common(a, b, percent)
 
 
 def ordered(tokens: np.ndarray, order: int, common: np.ndarray) -> np.ndarray:
@@ -101,10 +128,11 @@ def ordered(tokens: np.ndarray, order: int, common: np.ndarray) -> np.ndarray:
 
 
 def prefix(tokens: np.ndarray, order: int, common: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The first shingles under an order, in this order."""
+    keys = ordered(tokens, order, common)
     n = prefix_length(len(tokens), percent)
-    if n >= len(tokens):
-        return tokens
-    return tokens[np.argpartition(ordered(tokens, order, common), n - 1)[:n]]
+    first = np.argpartition(keys, n - 1)[:n] if n < len(tokens) else np.arange(len(tokens))
+    return tokens[first[np.argsort(keys[first])]]
 
 
 def _common(docs: DataFrame) -> np.ndarray:
@@ -150,6 +178,19 @@ def _signed(tokens: np.ndarray) -> np.ndarray:
     return tokens.view(np.int64)
 
 
+def firsts(tokens: np.ndarray, common: np.ndarray) -> list[int]:
+    """The first shingle under each order.
+
+    A text whose prefix reaches into common shingles is mostly made of them. It may be one of
+    very many copies, whose shingles are common for that reason, so here they don't come last.
+    """
+    if not len(tokens):
+        return []
+    n_rare = (ordered(tokens, 0, common) >> np.uint64(63) == 0).sum()
+    at_end = common if n_rare >= prefix_length(len(tokens)) else np.zeros_like(common)
+    return [int(_signed(tokens)[ordered(tokens, k, at_end).argmin()]) for k in range(FIRSTS)]
+
+
 def _features(docs: DataFrame, common) -> DataFrame:
     """doc_id, n, s1, s2 (two hashes of the set) and the first shingle under each order."""
     def make():
@@ -161,7 +202,7 @@ def _features(docs: DataFrame, common) -> DataFrame:
                 out["n"].append(len(tokens))
                 out["s1"].append(int(_signed(mixed(tokens, 51)).sum()) if len(tokens) else 0)
                 out["s2"].append(int(_signed(np.bitwise_xor.reduce(mixed(tokens, 52), keepdims=True))[0]) if len(tokens) else 0)
-                out["firsts"].append([int(_signed(tokens)[ordered(tokens, k, bits).argmin()]) for k in range(FIRSTS)] if len(tokens) else [])
+                out["firsts"].append(firsts(tokens, bits))
             return out
 
         return work
@@ -337,18 +378,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     dropped(sets)
     known = written(_bridged(known, inner))
 
-    tokens = (_prefixes(linked, common, 0).join(known, F.col("doc_id") == F.col("rep"))
-              .select(F.explode("tokens").alias("token"), "rep", "cluster"))
-    split = written(tokens.selectExpr("*", "min(cluster) over (partition by token) as low", "max(cluster) over (partition by token) as high")
-                    .where("low <> high").select("token", "rep"))
-    split = written(split.join(known, "rep"))
     cleared(docs.sparkSession)
-    left, right = split.alias("l"), split.alias("r")
-    pairs = (left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.rep") < F.col("r.rep"))
-                       & (F.col("l.component") != F.col("r.component")) & (F.col("l.cluster") != F.col("r.cluster"))
-                       & _sizes("l.n", "r.n", percent))
-             .groupBy(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"), F.col("l.n").alias("na"), F.col("r.n").alias("nb"))
-             .agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared("na", "nb", percent)))
+    pairs = (_sharing(linked, known, common, percent).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
+             .where(F.col("shared") >= least_shared_short("na", "nb", percent)))
     pairs = written(pairs)
     sets = written(_sets(linked, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), common))
     late = _similar(pairs, sets, percent)
@@ -359,6 +391,29 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return found.unionByName(rest)
 
 
+def _sharing(docs: DataFrame, known: DataFrame, common, percent: int) -> DataFrame:
+    """A row (a, b, na, nb) for each shingle in the short prefix of ``a`` and the prefix of ``b`` under order 0.
+
+    ``a`` is the smaller set. Pairs have joined up neither as a component nor as a cluster, and
+    the places of the shingle leave room for enough others. The short prefix is what keeps
+    apart texts that share one long passage: most of them share less than it takes.
+    """
+    tokens = (_prefixes(docs, common, 0).join(known, F.col("doc_id") == F.col("rep"))
+              .select(F.posexplode("tokens").alias("at", "token"), "rep", "n", "cluster")
+              .withColumn("short", F.col("at") < short_prefix(F.col("n"), percent)))
+    split = written(tokens.selectExpr("*", "min(cluster) over (partition by token) as low", "max(cluster) over (partition by token) as high",
+                                      "bool_or(short) over (partition by token) as wanted")
+                    .where("low <> high and wanted").select("token", "at", "short", "rep"))
+    split = written(split.join(known, "rep"))
+    cleared(docs.sparkSession)
+    left, right = split.where("short").alias("l"), split.alias("r")
+    later = (F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.rep") < F.col("r.rep")))
+    return (left.join(right, (F.col("l.token") == F.col("r.token")) & later
+                      & (F.col("l.component") != F.col("r.component")) & (F.col("l.cluster") != F.col("r.cluster"))
+                      & _sizes("l.n", "r.n", percent) & _in_reach("l", "r", percent))
+            .select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"), F.col("l.n").alias("na"), F.col("r.n").alias("nb")))
+
+
 def _pair(column: str):
     """The two members of a sorted pair, with the sizes of their sets."""
     return [F.col(column)[k][c].alias(name) for k, c, name in ((0, "rep", "a"), (1, "rep", "b"), (0, "n", "na"), (1, "n", "nb"))]

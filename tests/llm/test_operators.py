@@ -304,6 +304,30 @@ def test_blocks_of_a_group_join_up_all_that_is_similar(spark, monkeypatch):
     assert got == brute_components(texts)
 
 
+def test_jaccard_of_many_unlinked_copies_and_a_shared_passage(spark):
+    """Copies that differ from each other too much, and texts that are mostly one passage; their shingles are common."""
+    rng = np.random.default_rng(9)
+    base, passage, texts = [f"b{k}" for k in range(150)], [f"p{k}" for k in range(60)], []
+    for n in range(60):
+        copy = list(base)
+        for at in rng.choice(150, rng.integers(1, 5), replace=False):
+            copy[at] = f"x{n}y{at}"
+        texts.append(" ".join(copy))
+        own = [f"o{n}w{k}" for k in range(rng.integers(2, 16))]
+        texts.append(" ".join(own + passage))
+    got = sorted(tuple(r) for r in jaccard.near_duplicates(docs(spark, texts)).collect())
+    assert got == brute_components(texts)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 7, 40, 146, 10_007])
+def test_jaccard_prefix_lengths_are_exact(spark, n):
+    """The short prefix is as long as the most shingles of n that a set of the same size may lack, and one more."""
+    need = -(-2 * n * 75 // 175)
+    row = spark.range(1).select(F.lit(n).alias("a"), F.lit(n).alias("b")).select(
+        jaccard.short_prefix(F.col("a")), jaccard.least_shared_short("a", "b"), jaccard.least_shared("a", "b")).first()
+    assert row[0] == n - need + 1 and row[1] == 1 and row[2] == max(need - -(-n * 75 // 100) + 1, 1)
+
+
 def test_near_duplicates_keep_one(spark):
     rows = [(3, "a b c d e f"), (1, "a b c d e f"), (2, "other text"), (None, "a b c d e f"), (5, None), (6, "")]
     table = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, n long")
