@@ -393,20 +393,23 @@ ORACLE: dict[str, str] = {
         + _log_attributes("'[EMAIL]'") + " AS attributes FROM documents"),
     "stream_full_refresh": (
         _STREAM_LOGS + f"{_mask('text', 'ip_address', token='')} AS body, {_log_attributes(_REVIEWER)} AS attributes "
-        f"FROM documents WHERE {_LOG_DATE} < DATE '2024-01-15'"),
+        "FROM documents"),
     "stream_after_expiry": (
         f"SELECT {_LOG_DATE} AS date, CASE WHEN {_LOG_DATE} < DATE '2024-01-10' THEN 0 ELSE count(*) END AS raw_rows, "
-        f"count(*) AS redacted_rows FROM documents WHERE {_LOG_DATE} < DATE '2024-01-15' GROUP BY {_LOG_DATE}"),
+        f"count(*) AS redacted_rows FROM documents GROUP BY {_LOG_DATE}"),
     "published_tables": (
-        f"SELECT {_LOG_DATE} AS date, source AS service_name, count(*) AS rows FROM documents "
-        f"WHERE {_LOG_DATE} < DATE '2024-01-15' GROUP BY 1, 2"),
+        f"SELECT {_LOG_DATE} AS date, source AS service_name, count(*) AS rows FROM documents GROUP BY 1, 2"),
     "expire_table": (
         f"SELECT {_LOG_DATE} AS date, count(*) AS rows FROM documents "
-        f"WHERE {_LOG_DATE} >= DATE '2024-01-10' AND {_LOG_DATE} < DATE '2024-01-15' GROUP BY 1"),
+        f"WHERE {_LOG_DATE} >= DATE '2024-01-10' GROUP BY 1"),
+    "expire_spans": ("SELECT CAST(ts AS DATE) AS date, count(*) AS rows FROM events "
+                     "WHERE CAST(ts AS DATE) >= DATE '2024-01-10' GROUP BY 1"),
     "source_counts": (
-        "SELECT 'spans' AS kind, CAST(NULL AS BIGINT) AS rows UNION ALL "
-        f"SELECT 'logs', count(*) FROM documents WHERE {_LOG_DATE} < DATE '2024-01-15' UNION ALL "
+        "SELECT 'spans' AS kind, count(*) AS rows FROM events UNION ALL "
+        "SELECT 'logs', count(*) FROM documents UNION ALL "
         "SELECT 'annotations', 2 * count(*) FROM labels"),
     "clustered_layout": ("SELECT CAST(ts AS DATE) AS date, count(*) AS rows, count(DISTINCT user_id) AS traces, "
                          "true AS adjacent FROM events GROUP BY 1"),
 }
+# The pipeline's tables equal those of one batch.
+ORACLE |= {"stream_spans": ORACLE["redacted_spans"], "stream_annotations": ORACLE["redacted_annotations"]}

@@ -190,13 +190,17 @@ def redacted_logs(spark, folder):
     return _flat(redact_logs(_logs(spark, folder), DEFAULT))
 
 
-def redacted_annotations(spark, folder):
-    return redact_annotations(_annotations(spark, folder), DEFAULT).select(
+def _annotation_values(df: DataFrame) -> DataFrame:
+    return df.select(
         "target_id", "annotation_id", "annotation_type", "name",
         F.col("value").cast("string").alias("value"), "comment",
         F.unix_micros("created_at").alias("created_micros"), "created_by")
 
 
+def redacted_annotations(spark, folder):
+    return _annotation_values(redact_annotations(_annotations(spark, folder), DEFAULT))
+
+
 def unmasked_spans(spark, folder):
     """An empty list of categories: only the casts."""
     return _flat(redact_spans(_spans(spark, folder), Policy(categories=())))
@@ -354,13 +358,14 @@ def prompt_lines(spark, folder):
                      F.sum((F.col("lines") - F.col("last"))).alias("beyond"))
 
 
-def _filled_config(spark, folder, **settings) -> PipelineConfig:
-    """Raw tables written to the shared folder, by day."""
+def _filled_config(spark, folder, first: Column | None = None, **settings) -> PipelineConfig:
+    """Raw tables written to the shared folder, by day; ``first`` chooses the logs that arrive first."""
     root = shared_folder(spark)
     config = PipelineConfig(**{"source_root": root, "source_schema": "raw", "target_root": root,
                                "target_schema": "clean", "table_prefix": "app", **settings})
-    first_days = F.col("date") < "2024-01-15"
-    _write(_logs(spark, folder).where(first_days), config.raw_path("logs"))
+    logs = _logs(spark, folder)
+    _write(logs if first is None else logs.where(first), config.raw_path("logs"))
+    _write(_spans(spark, folder), config.raw_path("spans"))
     _annotations(spark, folder).write.parquet(config.raw_path("annotations"))
     return config
 
@@ -372,13 +377,33 @@ def _write(df: DataFrame, path: str) -> None:
 
 def stream_incremental(spark, folder):
     """Two runs over a growing table; each row is redacted once."""
-    config = _filled_config(spark, folder)
+    config = _filled_config(spark, folder, F.col("date") < "2024-01-15")
     run(spark, config)
     _write(_logs(spark, folder).where(F.col("date") >= "2024-01-15"), config.raw_path("logs"))
     run(spark, config)
     return read_redacted(spark, config, "logs").select("record_id", "date", "body", "attributes")
 
 
+def stream_spans(spark, folder):
+    """The spans as the pipeline wrote them."""
+    config = _filled_config(spark, folder)
+    run(spark, config)
+    return _flat(read_redacted(spark, config, "spans"))
+
+
+def stream_annotations(spark, folder):
+    config = _filled_config(spark, folder)
+    run(spark, config)
+    return _annotation_values(read_redacted(spark, config, "annotations"))
+
+
+def expire_spans(spark, folder):
+    """Raw spans per day that are left after expiry."""
+    config = _filled_config(spark, folder, retention_days=RETENTION)
+    expire(spark, config, dt.date(2024, 1, 20))
+    return spark.read.parquet(config.raw_path("spans")).groupBy("date").agg(F.count("*").alias("rows"))
+
+
 def stream_full_refresh(spark, folder):
     """A new policy applied to everything."""
     config = _filled_config(spark, folder)
@@ -476,6 +501,9 @@ QUERIES: dict[str, Query] = {
     "prompt_spans": prompt_spans,
     "prompt_lines": prompt_lines,
     "stream_incremental": stream_incremental,
+    "stream_spans": stream_spans,
+    "stream_annotations": stream_annotations,
+    "expire_spans": expire_spans,
     "stream_full_refresh": stream_full_refresh,
     "stream_after_expiry": stream_after_expiry,
     "published_tables": published_tables,

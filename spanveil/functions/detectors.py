@@ -25,11 +25,13 @@ class Detector:
 # The left border of a value whose first character has been taken.
 _LEFT = r"(?:(?<![0-9A-Za-z].)|(?<=\\[bfnrt].)|(?<=\\u[0-9a-fA-F]{4}.))"
 
-# --- e-mail: letters of any script; possessive, so a long token is read once. The number of domain
-# parts has a bound, because the engine goes one call deeper for each.
+# --- e-mail: letters of any script; possessive, so a long token is read once. The engine goes one call
+# deeper for each part of a domain, so domains of more than 30 parts are read letter by letter.
+_PART = r"\p{L}\p{N}\p{M}-"
+_PARTS = rf"(?:[{_PART}]+\.)"
 _MAILBOX = r"\p{L}\p{N}\p{M}._%+\-"
 EMAIL = (rf"(?:(?<![{_MAILBOX}\\])|(?<=\\[bfnrt])|(?<=\\u[0-9a-fA-F]{{4}})|(?<=\\)(?![bfnrtu]))"
-         rf"[{_MAILBOX}]++@(?:[\p{{L}}\p{{N}}\p{{M}}-]+\.){{1,30}}\p{{L}}{{2,}}")
+         rf"[{_MAILBOX}]++@(?:(?={_PARTS}{{30}}[{_PART}])[{_PART}.]+\.\p{{L}}{{2,}}|{_PARTS}{{1,30}}\p{{L}}{{2,}})")
 
 # --- cards: grouped, plain 16 digits, 4-6-5; or the last four after a cue
 _CARD_CUE = r"(?i:card|visa|mastercard|amex|discover)[^0-9\n]{0,20}ending(?: in)? "

@@ -5,6 +5,7 @@ refresh fills a new version while the old one stays readable.
 """
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
@@ -53,6 +54,28 @@ def _mark_ready(spark: SparkSession, config: PipelineConfig, version: int) -> No
     fs.create(marker, True).close()
 
 
+def _policy_mark(config: PipelineConfig) -> str:
+    """A file name that stands for the policy and the fields."""
+    policy = config.policy
+    model = policy.model and f"{policy.model.__module__}.{policy.model.__qualname__}"
+    settings = (sorted(policy.categories), list(policy.custom_patterns.items()), policy.mode, policy.mask_character, policy.salt,
+                sorted(policy.allowlisted_keys), policy.events_as, model, sorted((k, tuple(v)) for k, v in config.fields.items()))
+    return f"_POLICY-{hashlib.sha256(repr(settings).encode()).hexdigest()}"
+
+
+def _check_policy(spark: SparkSession, config: PipelineConfig, version: int) -> None:
+    """Note the policy in a new version; refuse another one later."""
+    base, mark = _version_path(config, version), _policy_mark(config)
+    fs, root = file_system(spark, base)
+    noted = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    if mark in noted:
+        return
+    if any(name.startswith("_POLICY-") for name in noted):
+        raise ValueError("the policy or the fields differ from those of the rows already redacted; call full_refresh")
+    fs, marker = file_system(spark, f"{base}/{mark}")
+    fs.create(marker, True).close()
+
+
 def redacted_path(spark: SparkSession, config: PipelineConfig, kind: str) -> str:
     version = current_version(spark, config)
     if version is None:
@@ -124,13 +147,17 @@ def run(spark: SparkSession, config: PipelineConfig,
     Continuous mode returns the running queries. ``where`` keeps only some rows of a table.
     """
     version = current_version(spark, config)
-    if version is None:
-        version = max(_versions(spark, config), default=0) + 1
-        _mark_ready(spark, config, version)
+    first = version is None
+    if first:  # go on with a first run that failed; its checkpoints know what is done
+        version = max(_versions(spark, config), default=1)
+    _check_policy(spark, config, version)
     if config.mode == "continuous":
+        _mark_ready(spark, config, version)
         return {kind: _writer(spark, config, kind, version, (where or {}).get(kind)).trigger(
             processingTime=config.trigger_interval).start() for kind in _present(spark, config)}
     report = _process(spark, config, version, where or {})
+    if first:
+        _mark_ready(spark, config, version)
     publish_view(spark, config)
     return report
 
@@ -153,6 +180,7 @@ def full_refresh(spark: SparkSession, config: PipelineConfig, allow_loss: bool =
                 raise ValueError(f"raw {kind} no longer hold {len(lost)} redacted days, the first of "
                                  f"them {min(lost)}; a full refresh would lose them")
     version = max(_versions(spark, config), default=0) + 1
+    _check_policy(spark, config, version)
     report = _process(spark, config, version, where or {})
     _mark_ready(spark, config, version)
     publish_view(spark, config)

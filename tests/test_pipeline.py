@@ -107,6 +107,8 @@ def test_full_refresh_applies_a_new_policy(spark, filled):
     text = read_redacted(spark, changed, "spans").select(F.max("attributes")).first()[0]
     assert "[" not in text.replace("[\"first\"", "")
     assert run(spark, changed).rows == {"spans": 0, "logs": 0}
+    with pytest.raises(ValueError, match="full_refresh"):
+        run(spark, filled)
 
 
 def test_interrupted_refresh_is_not_used(spark, filled):
