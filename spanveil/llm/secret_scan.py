@@ -44,25 +44,25 @@ def character_class(text: str) -> str:
 def random_spans(text: str, least: float, window: int = WINDOW) -> list[tuple[int, int]]:
     """Unions of all windows whose Shannon entropy reaches ``least`` bits and that mix letters and digits.
 
-    Counts, and with them the sum of n * log2(n), change by one character in and one out.
+    Counts, and with them the sum of n * log2(n), change by one character out and one in.
     """
     table = [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
     counts: dict[str, int] = {}
     total, digits, letters = 0.0, 0, 0
     found: list[tuple[int, int]] = []
     for i, c in enumerate(text):
-        n = counts.get(c, 0)
-        counts[c] = n + 1
-        total += table[n + 1] - table[n] if n < window else 0.0
-        digits += c.isdigit()
-        letters += c.isalpha()
-        if i + 1 > window:
+        if i >= window:
             old = text[i - window]
             n = counts[old]
             counts[old] = n - 1
             total -= table[n] - table[n - 1]
             digits -= old.isdigit()
             letters -= old.isalpha()
+        n = counts.get(c, 0)
+        counts[c] = n + 1
+        total += table[n + 1] - table[n]
+        digits += c.isdigit()
+        letters += c.isalpha()
         if i + 1 >= window and digits > 1 and letters > 1 and math.log2(window) - total / window >= least:
             start = i + 1 - window
             if found and start <= found[-1][1]:

@@ -245,6 +245,26 @@ def test_entropy_by_counts_equals_entropy_from_scratch():
         assert marked == {k for a, b in secret_scan.random_spans(text, 3.3 - 1e-12) for k in range(a, b)}
 
 
+def test_entropy_of_candidates_with_long_runs(spark):
+    def scratch(text):
+        marked = set()
+        for k in range(len(text) - 19):
+            part = text[k:k + 20]
+            shares = np.array(list(Counter(part).values())) / 20
+            if -(shares * np.log2(shares)).sum() >= 3.3 and sum(map(str.isdigit, part)) > 1 and sum(map(str.isalpha, part)) > 1:
+                marked |= set(range(k, k + 20))
+        return marked
+
+    key = "Zx8Kq2Lw9Vt4Rb7Yn3Mp6"
+    for n in (20, 21, 22, 1000):
+        for text in ("a" * n, "a" * n + "1", f"{key}{'A' * n}{key}{'-' * n}{key}"):
+            assert scratch(text) == {k for a, b in secret_scan.random_spans(text, 3.3 - 1e-12) for k in range(a, b)}
+    texts = ["iVBORw0KGgo" + "A" * 25, "Section2" + "-" * 26, "a" * 25 + "1", f"{'A' * 30}{key}"]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.digest(secret_scan.scan_secrets(docs(spark, texts), keep=["doc_id"])).collect()}
+    assert len(got) == 4 and got[1] == "" and got[2] == "hex:0:26" and got[3].endswith(":51")
+    assert secret_scan.redact_secrets(docs(spark, texts)).count() == 4
+
+
 def brute_components(texts):
     sets = []
     for text in texts:
