@@ -14,7 +14,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 #: Least bits per character in a window, by the characters that a candidate is made of.
 LEAST_BITS = {"hex": 3.1, "upper": 3.6, "alnum": 3.75, "base64": 3.8}
-#: Candidates with these marks are samples or known identifiers. Fixed values.
+#: Marks of samples, which excuse the windows that they touch, and forms of known identifiers, which excuse a whole candidate. Fixed values.
 ALLOWED = (r"example|sample|dummy|placeholder|changeme|xxxx|0000000|1234567|abcdef",
            r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
            r"[A-Za-z]+([-_/=+][A-Za-z]+)*[-_/=+]*", r"[-_/=+0-9]+", r"([A-Za-z]+|[0-9]+)([-_/=+]+([A-Za-z]+|[0-9]+))*")
@@ -28,9 +28,9 @@ def _patterns():
     access = re.compile(r"AKIA[A-Z0-9]+")
     hexadecimal = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
     candidate = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
-    sample = re.compile(ALLOWED[0], re.IGNORECASE)
+    sample = re.compile(f"(?=({ALLOWED[0]}))", re.IGNORECASE)
     whole = [re.compile(p, re.IGNORECASE) for p in ALLOWED[1:]]
-    return assign, access, hexadecimal, candidate, lambda s: bool(sample.search(s)) or any(p.fullmatch(s) for p in whole)
+    return assign, access, hexadecimal, candidate, sample, lambda s: any(p.fullmatch(s) for p in whole)
 
 
 def character_class(text: str) -> str:
@@ -41,16 +41,22 @@ def character_class(text: str) -> str:
     return "alnum" if text.isalnum() else "base64"
 
 
-def random_spans(text: str, least: float, window: int = WINDOW) -> list[tuple[int, int]]:
+def random_spans(text: str, least: float, window: int = WINDOW, marks: list[tuple[int, int]] = ()) -> list[tuple[int, int]]:
     """Unions of all windows whose Shannon entropy reaches ``least`` bits and that mix letters and digits.
 
+    Windows that overlap one of ``marks`` (start, end), ordered by start, don't count.
+
     Counts, and with them the sum of n * log2(n), change by one character out and one in.
     """
     table = [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
     counts: dict[str, int] = {}
     total, digits, letters = 0.0, 0, 0
     found: list[tuple[int, int]] = []
+    mark, clear = 0, 0
     for i, c in enumerate(text):
+        while mark < len(marks) and marks[mark][0] <= i:
+            clear = max(clear, marks[mark][1])
+            mark += 1
         if i >= window:
             old = text[i - window]
             n = counts[old]
@@ -63,7 +69,7 @@ def random_spans(text: str, least: float, window: int = WINDOW) -> list[tuple[in
         total += table[n + 1] - table[n]
         digits += c.isdigit()
         letters += c.isalpha()
-        if i + 1 >= window and digits > 1 and letters > 1 and math.log2(window) - total / window >= least:
+        if i + 1 >= window + clear and digits > 1 and letters > 1 and math.log2(window) - total / window >= least:
             start = i + 1 - window
             if found and start <= found[-1][1]:
                 found[-1] = (found[-1][0], i + 1)
@@ -74,7 +80,7 @@ def random_spans(text: str, least: float, window: int = WINDOW) -> list[tuple[in
 
 def finder():
     """A function from a text to its spans (kind, start, end), by start and then kind."""
-    assign, access, hexadecimal, candidate, allowed = _patterns()
+    assign, access, hexadecimal, candidate, sample, allowed = _patterns()
 
     def find(text: str | None) -> list[tuple[str, int, int]]:
         text = text or ""
@@ -84,7 +90,8 @@ def finder():
         more = []
         for m in candidate.finditer(text):
             if not allowed(m[0]):
-                for start, end in random_spans(m[0], LEAST_BITS[character_class(m[0])]):
+                marks = [x.span(1) for x in sample.finditer(m[0])]
+                for start, end in random_spans(m[0], LEAST_BITS[character_class(m[0])], marks=marks):
                     start, end = start + m.start(), end + m.start()
                     if not any(s <= start and end <= e for _, s, e in base):
                         more.append(("entropy", start, end))
@@ -98,7 +105,8 @@ def scan_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
 
     Kinds ``assign``, ``access`` and ``hex`` have fixed forms. ``entropy`` spans are windows of
     20 characters with many different ones, inside a run of letters, digits and ``+/_=-`` that
-    no allow-list pattern excuses and no other secret covers. A null or empty text has none.
+    is no known identifier as a whole. Windows that touch the mark of a sample, and spans that
+    another secret covers, don't count. A null or empty text has none.
     Each row is judged by itself, whatever its id; texts are read whole.
     """
     def make():

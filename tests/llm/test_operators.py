@@ -265,6 +265,15 @@ def test_entropy_of_candidates_with_long_runs(spark):
     assert secret_scan.redact_secrets(docs(spark, texts)).count() == 4
 
 
+def test_marks_of_samples_excuse_only_the_windows_they_touch(spark):
+    key = "Zx8Kq2Lw9Vt4Rb7Yn3Mp6"
+    texts = [f"EXAMPLE_KEY={key}", "/sample/9fK2Lw9Vt4Rb7Yn3Mp6Qz", f"{key * 5}xXxX{key * 5}", f"{key}_dummy", f"Sample{key[:14]}",
+             f"{key[:10]}xxxxxxx{key[10:]}", "AKIAIOSFODNN7EXAMPL", f"{key}0000000{key[::-1]}"]
+    clean = [r["text"] for r in secret_scan.redact_secrets(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert clean == ["EXAMPLE[SECRET]", "/sample[SECRET]", "[SECRET]xXxX[SECRET]", "[SECRET]dummy", texts[4],
+                     texts[5], texts[6], "[SECRET]0000000[SECRET]"]
+
+
 def brute_components(texts):
     sets = []
     for text in texts:
