@@ -18,9 +18,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
 from spanveil.llm.text import cleared, dropped, map_texts, mixed, raw, slices, written
 
@@ -191,8 +191,8 @@ def firsts(tokens: np.ndarray, common: np.ndarray) -> list[int]:
     return [int(_signed(tokens)[ordered(tokens, k, at_end).argmin()]) for k in range(FIRSTS)]
 
 
-def _features(docs: DataFrame, common) -> DataFrame:
-    """doc_id, n, s1, s2 (two hashes of the set) and the first shingle under each order."""
+def _features(docs: DataFrame, common, keep: list[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep``, n, s1, s2 (two hashes of the set) and the first shingle under each order."""
     def make():
         bits = common.value
 
@@ -208,7 +208,7 @@ def _features(docs: DataFrame, common) -> DataFrame:
         return work
 
     fields = [StructField(c, LongType(), False) for c in ("n", "s1", "s2")] + [StructField("firsts", _LONGS, False)]
-    return map_texts(docs, "text", make, fields, ["doc_id"])
+    return map_texts(docs, "text", make, fields, list(keep))
 
 
 def _prefixes(docs: DataFrame, common, order: int) -> DataFrame:
@@ -223,23 +223,31 @@ def _bit(doc_id):
     return F.pmod(F.xxhash64(doc_id), F.lit(BITS))
 
 
+def _bit_map(ids: DataFrame) -> np.ndarray:
+    """One bit for the hash of each id: a fixed size, whatever the number of ids."""
+    words = (ids.select(_bit("doc_id").alias("bit")).groupBy(F.expr("bit div 32").cast("int").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits"))).toArrow()
+    table = np.zeros(BITS // 32, np.uint32)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+    return table
+
+
+def _in_map(at: np.ndarray, bits: np.ndarray) -> pa.Array:
+    return pa.array(((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool))
+
+
 def _sets(docs: DataFrame, ids: DataFrame, common) -> DataFrame:
     """The sets of the texts named in ``ids`` (and of a few more), with their prefix under order 1.
 
     A bit map of a fixed size, one bit for the hash of an id, tells tasks which texts to
     read; so texts themselves are not shuffled. The joins that follow use the ids.
     """
-    words = (ids.select(_bit("doc_id").alias("bit")).groupBy(F.expr("bit div 32").cast("int").alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits"))).toArrow()
-    table = np.zeros(BITS // 32, np.uint32)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast(_bit_map(ids))
 
     def pick(batches):
         bits, at_end = shared.value, common.value
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            needed = pa.array(((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool))
+            needed = _in_map(batch.column(2).to_numpy(), bits)
             for part in slices(batch.filter(needed), "text"):
                 found = shingle_sets(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
@@ -251,6 +259,35 @@ def _sets(docs: DataFrame, ids: DataFrame, common) -> DataFrame:
         pick, f"doc_id {kind}, tokens array<bigint>, second array<bigint>")
 
 
+def _told_apart(docs: DataFrame, shared) -> DataFrame:
+    """``docs`` with ``repeats``: whether the bit map of repeated ids has the bit of their id. Null ids don't repeat."""
+    def tell(batches):
+        for batch in batches:
+            yield batch.set_column(batch.num_columns - 1, "repeats", _in_map(batch.column("repeats").to_numpy(), shared.value))
+
+    schema = StructType([*docs.schema.fields, StructField("repeats", BooleanType())])
+    rows = docs.where("doc_id is not null").withColumn("repeats", _bit("doc_id"))
+    return rows.mapInArrow(tell, schema).unionByName(docs.where("doc_id is null").withColumn("repeats", F.lit(False)))
+
+
+#: Names a set under a repeated id; a row whose id stands in no other row goes by the id.
+_OWN = ("doc_id", "n", "s1", "s2")
+
+
+def _repeated(features: DataFrame):
+    """The bit map of ids that stand in several rows, broadcast, or None."""
+    again = written(features.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"))
+    return None if again.isEmpty() else features.sparkSession.sparkContext.broadcast(_bit_map(again))
+
+
+def _one_text_each(docs: DataFrame, shared, common) -> DataFrame:
+    """``docs`` under unique names: a row for each set of a repeated id, and all rows of other ids, which are not shuffled."""
+    told = _told_apart(docs, shared)
+    several = (_features(told.where("repeats"), common, ["doc_id", "text"]).groupBy(*_OWN).agg(F.min("text").alias("text"))
+               .select(F.xxhash64(*_OWN).alias("doc_id"), "text"))
+    return told.where("not repeats").select("doc_id", "text").unionByName(written(several))
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, with sizes na, nb) that are similar: they must share enough of the prefix under order 1, then the sets are compared."""
     def side(c, what):
@@ -302,11 +339,18 @@ def _joining(table: pa.Table, percent: int) -> pa.Table:
 def _within(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between members (rep, component) of the same cluster, enough to join up all that similar pairs join.
 
-    Members of a cluster with several components form blocks of a fixed size, and each pair of
-    blocks is one group; blocks of one and the same component don't meet.
+    Members of a cluster with several components form blocks of about a fixed size, dealt by
+    hashes: those of a large component its own, the others common ones. Each pair of blocks is
+    one group; blocks of one and the same component don't meet.
     """
-    turn = F.row_number().over(Window.partitionBy("cluster").orderBy("component", "rep"))
-    blocks = written(members.withColumn("block", F.floor((turn - 1) / BLOCK)))
+    members = written(members)
+    sizes = written(members.groupBy("cluster", "component").agg(F.count("*").alias("size")))
+    small = sizes.where(F.col("size") < BLOCK).groupBy("cluster").agg(F.sum("size").alias("others"))
+    dealt = sizes.join(small, "cluster", "left").withColumn("own", F.when(F.col("size") >= BLOCK, F.col("component")))
+    turn = F.when(F.col("own").isNull(), F.pmod(F.xxhash64("component"), F.ceil(F.col("others") / BLOCK))).otherwise(
+        F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK)))
+    blocks = written(members.join(dealt, ["cluster", "component"])
+                     .select("cluster", "rep", "component", F.xxhash64("own", turn).alias("block")))
     sums = blocks.groupBy("cluster", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     other = sums.select("cluster", *[F.col(c).alias(f"{c}_2") for c in ("block", "low", "high")])
     meet = (sums.join(other, "cluster").where("block <= block_2 and not (low = high and low_2 = high_2 and low = low_2)")
@@ -346,17 +390,32 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Two documents link if their sets of shingles are similar; ``component_id`` is the smallest id
     that links reach. Null and empty texts have no shingles and link with nothing. Rows with a
-    null id take no part and have a null component. Ids should be unique; rows that share one
-    are reported one by one. Sets are compared by 64-bit hashes of shingles.
+    null id take no part and have a null component. Rows that share an id are reported one by
+    one, each by its own text; components that no links join can then have the same smallest id. Sets are compared by 64-bit hashes of shingles.
     """
+    found, _ = _grouped(docs, percent)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _grouped(docs: DataFrame, percent: int):
+    """doc_id, ``node`` (the name of its set under a repeated id, or its id), n, component (its smallest
+    node) and component_id of each row; and the bit map of repeated ids."""
     docs = docs.select("doc_id", "text")
     linked = docs.where("doc_id is not null")
     common = docs.sparkSession.sparkContext.broadcast(_common(linked))
     features = written(_features(docs, common))
-    real = features.where("n > 0 and doc_id is not null")
-    same = real.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    members = written(real.join(same, ["n", "s1", "s2"]).select("doc_id", "rep", "n", "firsts"))
-    reps = members.where("doc_id = rep")
+    repeated = _repeated(features)
+    node = F.col("doc_id")
+    if repeated is not None:
+        features = _told_apart(features, repeated)
+        node = F.when(F.col("repeats"), F.xxhash64(*_OWN)).otherwise(node)
+        linked = _one_text_each(linked, repeated, common)
+    real = features.where("n > 0 and doc_id is not null").withColumn("node", node)
+    first_of = [f"first_{k}" for k in range(FIRSTS)]
+    same = real.groupBy("n", "s1", "s2").agg(F.min("node").alias("rep"), F.min("doc_id").alias("low"),
+                                             *[F.min(F.col("firsts")[k]).alias(c) for k, c in enumerate(first_of)])
+    reps = written(same.withColumn("firsts", F.array(*first_of)).drop(*first_of))
+    members = written(real.join(reps.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"]).select("doc_id", "node", "rep", "n"))
 
     first = reps.select("rep", "n", F.posexplode("firsts").alias("k", "token"))
     sizes = first.groupBy("k", "token").agg(F.count("*").alias("size")).where("size > 1")
@@ -385,10 +444,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = written(_sets(linked, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), common))
     late = _similar(pairs, sets, percent)
     dropped(sets)
-    whole = _bridged(known, late).select("rep", F.col("component").alias("component_id"))
-    found = members.select("doc_id", "rep", "n").join(whole, "rep").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    rest = features.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return found.unionByName(rest)
+    whole = _bridged(known, late).select("rep", "component", F.col("component").alias("component_id"))
+    if repeated is not None:
+        whole = written(whole)
+        lows = whole.join(reps.select("rep", "low"), "rep").groupBy("component").agg(F.min("low").alias("low"))
+        whole = whole.join(lows, "component").select("rep", "component", F.col("low").alias("component_id"))
+    found = members.join(whole, "rep").select("doc_id", "node", "n", "component", "component_id")
+    nothing = [F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ("node", "component")]
+    rest = features.where("n = 0 or doc_id is null").select("doc_id", nothing[0], "n", nothing[1], F.col("doc_id").alias("component_id"))
+    return found.unionByName(rest), repeated
 
 
 def _sharing(docs: DataFrame, known: DataFrame, common, percent: int) -> DataFrame:
@@ -398,12 +462,13 @@ def _sharing(docs: DataFrame, known: DataFrame, common, percent: int) -> DataFra
     the places of the shingle leave room for enough others. The short prefix is what keeps
     apart texts that share one long passage: most of them share less than it takes.
     """
-    tokens = (_prefixes(docs, common, 0).join(known, F.col("doc_id") == F.col("rep"))
-              .select(F.posexplode("tokens").alias("at", "token"), "rep", "n", "cluster")
-              .withColumn("short", F.col("at") < short_prefix(F.col("n"), percent)))
-    split = written(tokens.selectExpr("*", "min(cluster) over (partition by token) as low", "max(cluster) over (partition by token) as high",
-                                      "bool_or(short) over (partition by token) as wanted")
-                    .where("low <> high and wanted").select("token", "at", "short", "rep"))
+    tokens = written(_prefixes(docs, common, 0).join(known, F.col("doc_id") == F.col("rep"))
+                     .select(F.posexplode("tokens").alias("at", "token"), "rep", "n", "cluster")
+                     .select("token", "at", (F.col("at") < short_prefix(F.col("n"), percent)).alias("short"), "rep", "cluster"))
+    wanted = (tokens.groupBy("token").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"), F.bool_or("short").alias("wanted"))
+              .where("low <> high and wanted").select("token"))
+    split = written(tokens.join(wanted, "token").select("token", "at", "short", "rep"))
+    dropped(tokens)
     split = written(split.join(known, "rep"))
     cleared(docs.sparkSession)
     left, right = split.where("short").alias("l"), split.alias("r")
@@ -442,8 +507,19 @@ def _sizes(one: str, other: str, percent: int):
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents without near duplicates: of each component the one with the smallest id.
 
-    Documents without an id stay.
+    Of rows that share this id, one stays. Documents without an id or without words stay.
     """
-    found = near_duplicates(docs, percent)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found, repeated = _grouped(docs, percent)
+    if repeated is None:
+        gone = found.where("doc_id <> component_id").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = written(found)
+    heads = (found.where("node is not null").groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("head"))
+             .select(F.col("head.node").alias("node")))
+    told = _told_apart(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"), repeated)
+    gone = _told_apart(found.where("doc_id <> component_id").select("doc_id"), repeated).where("not repeats").select("doc_id")
+    single = told.where("not repeats").join(gone, "doc_id", "left_anti").select("row.*")
+    none = docs.sparkSession.sparkContext.broadcast(np.zeros(COUNTERS // 8, np.uint8))
+    several = _features(told.where("repeats"), none, ["row", "doc_id", "text"]).withColumn("node", F.xxhash64(*_OWN))
+    kept = (several.where("n > 0").join(heads, "node", "left_semi").groupBy("node").agg(F.min_by("row", "text").alias("row")).select("row.*"))
+    return single.unionByName(kept).unionByName(several.where("n = 0").select("row.*"))

@@ -366,6 +366,31 @@ def test_near_duplicates_keep_one(spark):
     assert jaccard.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows that share an id count one by one, by their own texts, and copies under one id leave one."""
+    rng = np.random.default_rng(4)
+    base = [f"w{k}" for k in range(60)]
+    near = " ".join([*base[:59], "other"])
+    rows = [(5, " ".join(base))] * 4 + [(5, "some quite different text of its own")] * 2 + [(3, near), (9, near), (9, near), (7, "a b c d e f g")]
+    rows += [(9, "Some quite different text of its OWN"), (4, None), (4, ""), (None, near), (11, "a b c d e f g")]
+    rows += [(20, " ".join(rng.choice(base, 30))) for _ in range(30)] + [(21, "hot one")] * 50
+    table = spark.createDataFrame([(*r, {"k": i}, 9) for i, r in enumerate(rows)], "doc_id long, text string, more map<string,int>, n long")
+    links = brute_components([t if i is not None else None for i, t in rows])
+    least = {}
+    for (i, _), (_, _, top) in zip(rows, links):
+        least[top] = min(least.get(top, i), i) if i is not None else i
+    n_shingles = brute_components([t for _, t in rows])
+    want = sorted(((i, n[1], least[top]) for (i, _), n, (_, _, top) in zip(rows, n_shingles, links)), key=str)
+    assert sorted((tuple(r) for r in jaccard.near_duplicates(table).collect()), key=str) == want
+    kept = jaccard.keep_one(table)
+    assert kept.columns == table.columns
+    got = Counter((r["doc_id"], small(r["text"])) for r in kept.collect())
+    # of each component one row: the smallest id's; null ids and texts without words stay
+    tops = {top for (i, t), (_, n, top) in zip(rows, links) if n}
+    assert sum(got.values()) == len(tops) + 3 and got[(None, near)] == 1 and got[(4, "")] == 2 and got[(21, "hot one")] == 1
+    assert got[(3, near)] == 1 and got[(5, small(rows[4][1]))] == 1 and not any(i in (9, 11) for i, _ in got)
+
+
 def nearest(vectors, q, k):
     scores = {i: float(np.dot(np.float64(vectors[q]), np.float64(v))) for i, v in vectors.items() if i != q}
     return sorted(scores, key=lambda i: (-scores[i], i))[:k], scores
