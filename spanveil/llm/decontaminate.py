@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from spanveil.llm.text import map_texts, raw, words
+from spanveil.llm.text import dropped, map_texts, raw, words, written
 
 #: Words of test items in one automaton (about 100 bytes each); more items make more automata.
 BLOCK_WORDS = 500_000
@@ -154,19 +154,23 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     A window is ``window`` consecutive words of an item, or a whole shorter item. Null and
     empty texts have no words; items without words or id never occur; repeated items count
     once by id. An automaton holds a bounded number of item words. Larger benchmarks make more
-    automata, which read the documents one after the other, so the result is the same. Input
+    automata, which read the documents one after the other, each from a table in the shared
+    folder that the one before wrote, so the result is the same. Input
     columns called like the new ones are replaced. ``keep`` names the input columns of the
     result (all, if not given).
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_words", "hits", "items")]
     blocks = _blocks(benchmark, block_words)
-    block, first = next(blocks, []), True
+    block, before = next(blocks, []), None
     while True:
         following = next(blocks, None)
-        docs = _scan(docs, block, window, not first, keep + ["text"] * (following is not None and "text" not in keep))
+        docs = _scan(docs, block, window, before is not None, keep + ["text"] * (following is not None and "text" not in keep))
         if following is None:
             return docs
-        block, first = following, False
+        docs = written(docs)
+        if before:
+            dropped(before[0])
+        block, before = following, (docs,)
 
 
 def _scan(docs: DataFrame, block: list, window: int, more: bool, keep: list[str]) -> DataFrame:
@@ -218,12 +222,50 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     A document with more than the share ``most`` of its words in passages goes. From others,
     the hit words are cut, with what stands between them, and a line break takes their place;
     what is left is read again until it holds no passage. Texts without a hit, and null, stay
-    as they are. ``n_chars``, if there, follows the text.
+    as they are. ``n_chars``, if there, follows the text. Items need no id. The hits of all
+    automata are joined before a document is judged or cut, so the result is that of one.
     """
     columns = docs.columns
-    for block in _blocks(benchmark, block_words):
-        docs = _cut(docs, block, window, most)
-    return docs.select(*columns)
+    benchmark = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
+    blocks = _blocks(benchmark, block_words)
+    block = next(blocks, [])
+    if next(blocks, None) is None:
+        return _cut(docs, block, window, most).select(*columns)
+    others = [c for c in columns if c != "text"]
+    left = docs.select(F.struct(F.lit(0).alias("no"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(others)]).alias("row"), "text")
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    clean, judged = [], False
+    while True:
+        found = written(find_passages(left, benchmark, window, block_words, ["row", "text"]))
+        clean.append(found.where("size(hits) = 0").select("row", "text"))
+        left = found.where("size(hits) > 0")
+        if not judged:
+            left, judged = left.where(n_hit <= F.col("n_words") * most), True
+        if left.isEmpty():
+            break
+        left = left.select("row", F.udf(_without, StringType())("text", "hits").alias("text"))
+    done = clean[0]
+    for more in clean[1:]:
+        done = done.unionByName(more)
+    # as in one pass, the number of characters is counted anew for all rows
+    place = {c: F.col(f"row.c{k}").alias(c) for k, c in enumerate(others)} | {"text": F.col("text")}
+    if "n_chars" in place:
+        place["n_chars"] = F.char_length("text").cast("long").alias("n_chars")
+    return done.select(*[place[c] for c in columns])
+
+
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def _without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text with a line break in place of each run of words [start, end)."""
+    data = raw(text)
+    places = [m.span() for m in _WORD.finditer(data)]
+    out, at = [], 0
+    for start, end in spans:
+        out += [data[at:places[start][0]], b"\n"]
+        at = places[end - 1][1]
+    return b"".join([*out, data[at:]]).decode("utf-8", "surrogatepass")
 
 
 def _cut(docs: DataFrame, block: list, window: int, most: float) -> DataFrame:
@@ -231,7 +273,6 @@ def _cut(docs: DataFrame, block: list, window: int, most: float) -> DataFrame:
 
     def make():
         automaton = Automaton(shared.value, window)
-        word = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
         def clean(text):
             first = True
@@ -242,13 +283,7 @@ def _cut(docs: DataFrame, block: list, window: int, most: float) -> DataFrame:
                     break
                 if first and sum(e - s for s, e in spans) > most * len(tokens):
                     return text, False
-                data, first = raw(text), False
-                places = [m.span() for m in word.finditer(data)]
-                out, at = [], 0
-                for start, end in spans:
-                    out += [data[at:places[start][0]], b"\n"]
-                    at = places[end - 1][1]
-                text = b"".join([*out, data[at:]]).decode("utf-8", "surrogatepass")
+                text, first = _without(text, spans), False
             return text, True
 
         def work(texts):

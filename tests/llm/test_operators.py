@@ -198,6 +198,20 @@ def test_decontaminated_texts_hold_no_passage(spark):
     assert decontaminate.decontaminate(docs(spark, texts), benchmark.limit(0)).count() == len(texts)
 
 
+def test_decontaminate_does_not_depend_on_blocks(spark):
+    one, two, three = ([f"{c}{k}" for k in range(20)] for c in "abc")
+    own = [f"o{k}" for k in range(100)]
+    texts = [None, "", " ".join(own), " ".join(one + own[:10] + two), " ".join(own + one + own + two),
+             " ".join(own[:60] + one[:9] + two + one[9:18] + own[60:]), " ".join(own + three)]
+    rows = [(i, t, 0 if t is None else len(t)) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    items = spark.createDataFrame([("1", " ".join(one)), ("2", " ".join(two)), (None, " ".join(three))], "item_id string, text string")
+    whole = sorted(map(tuple, decontaminate.decontaminate(table, items).collect()))
+    got = sorted(map(tuple, decontaminate.decontaminate(table, items, block_words=20).collect()))
+    assert got == whole and [r[0] for r in got] == [0, 1, 2, 4, 5, 6]
+    assert split(got[4][1]) == own and split(got[5][1]) == own
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (2, 2, "user", "more"),
             (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (3, 2, "user", "more"), (3, 2, "user", "more"), (4, 0, "user", None),
