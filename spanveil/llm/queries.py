@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanveil.llm import chat, decontaminate, jaccard, licenses, neighbours, packing, quality, secret_scan, toxicity, urls
+from spanveil.llm import (chat, decontaminate, filter_audit, jaccard, licenses, neighbours, packing, quality, secret_scan, toxicity,
+                          urls)
 from spanveil.llm.text import fold
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -68,9 +69,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failures(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pack, op2_licenses, op3_urls, op4_quality, op5_decontaminate, op6_chat, op7_secrets,
-                            op8_jaccard, op9_neighbours, op10_toxicity)}
+                            op8_jaccard, op9_neighbours, op10_toxicity, op13_filters)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {
@@ -86,6 +91,39 @@ m AS (SELECT conv_id, n, n_same FROM f
 SELECT m.conv_id, m.n AS n_turns, m.n_same, (p.i - 1) // 256 AS part,
        string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY p.i) AS text
 FROM m JOIN p ON p.conv_id = m.conv_id GROUP BY m.conv_id, m.n, m.n_same, (p.i - 1) // 256
+""",
+    "op13_filters": r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+             || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+             || CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS failed
+      FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+g AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, failed),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE a.c <> b.c AND c.c NOT IN (a.c, b.c) AND d.c NOT IN (a.c, b.c, c.c) AND e.c NOT IN (a.c, b.c, c.c, d.c)),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS c, filter_order[:step - 1] AS past
+      FROM o, generate_series(1, 5) AS t(step)),
+r AS (SELECT g.part, s.filter_order, s.step, s.c, n, good, toxic, contains(failed, s.c) AS fails, failed = s.c AS only_this,
+             regexp_matches(failed, '[' || s.past || '0]') AS gone
+      FROM g, s),
+k AS (SELECT part, filter_order, step, c,
+             CAST(sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS BIGINT) AS kept,
+             CAST(sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END) AS BIGINT) AS removed,
+             CAST(sum(CASE WHEN gone AND fails THEN n ELSE 0 END) AS BIGINT) AS redundant,
+             CAST(sum(CASE WHEN only_this THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+             CAST(sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+             CAST(sum(CASE WHEN NOT gone AND fails THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+      FROM r GROUP BY part, filter_order, step, c)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
+FROM k
 """,
 }
 if corpus_pipeline.ORACLE_SQL:
