@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanveil.llm import (chat, decontaminate, filter_audit, jaccard, licenses, neighbours, packing, quality, secret_scan, toxicity,
-                          urls)
+from spanveil.llm import (chat, decontaminate, filter_audit, jaccard, licenses, neighbours, packing, quality, runs, secret_scan,
+                          toxicity, urls)
 from spanveil.llm.text import fold
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -69,13 +69,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.find_runs(runs.with_repeats(_read(spark, sf_dir, "documents")), keep=["doc_id"]))
+
+
 def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.failures(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pack, op2_licenses, op3_urls, op4_quality, op5_decontaminate, op6_chat, op7_secrets,
-                            op8_jaccard, op9_neighbours, op10_toxicity, op13_filters)}
+                            op8_jaccard, op9_neighbours, op10_toxicity, op11_runs, op13_filters)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {
