@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanveil.llm import (chat, decontaminate, filter_audit, jaccard, licenses, neighbours, packing, quality, runs, secret_scan,
+from spanveil.llm import (chat, decontaminate, filter_audit, html_text, jaccard, licenses, neighbours, packing, quality, runs, secret_scan,
                           toxicity, urls)
 from spanveil.llm.text import fold
 
@@ -73,13 +73,18 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.find_runs(runs.with_repeats(_read(spark, sf_dir, "documents")), keep=["doc_id"]))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages), keep=["page_id", "url"])
+
+
 def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.failures(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pack, op2_licenses, op3_urls, op4_quality, op5_decontaminate, op6_chat, op7_secrets,
-                            op8_jaccard, op9_neighbours, op10_toxicity, op11_runs, op13_filters)}
+                            op8_jaccard, op9_neighbours, op10_toxicity, op11_runs, op12_main_text, op13_filters)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {
