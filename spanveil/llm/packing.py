@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import functools
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,10 @@ _MARKS = ".,!?;:*#$%&|"
 class _Chunks(dict):
     """Ids of the text between spaces; the tokenizer never joins two such parts.
 
-    A letter and a mark after it are never joined either, and case is dropped, so parts that
-    differ in these have their ids from one entry.
+    Letters below U+0130 have small forms of one letter each, and a mark after one is never joined
+    to it, so parts that differ in case or marks have their ids from one entry. Other parts go to
+    the tokenizer as they are. Once ``_CHUNKS`` entries are there, they become the older ones, and
+    those that aren't used again until the next such change go.
     """
 
     def __init__(self, tokenizer):
@@ -34,6 +37,7 @@ class _Chunks(dict):
         super().__init__()
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.letters = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.older: dict[str, bytes] = {}
 
     def word(self, core: str) -> list[int]:
         """Ids of small letters that normalisation leaves alone and that are one word: only the model is needed."""
@@ -41,17 +45,20 @@ class _Chunks(dict):
         return [token.id for token in self.model.tokenize(spelled)]
 
     def __missing__(self, chunk: str) -> bytes:
+        value = self.older.get(chunk)
+        if value is None:
+            core = chunk.rstrip(_MARKS)
+            if core.isalpha() and (core.isascii() or max(core) < "\u0130"):
+                small = core.lower()
+                if small == chunk:
+                    value = array("I", self.word(chunk)).tobytes()
+                else:
+                    value = self[small] + self[chunk[len(core):]] if len(core) < len(chunk) else self[small]
+            else:
+                value = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
         if len(self) >= _CHUNKS:
+            self.older = self.copy()
             self.clear()
-        core = chunk.rstrip(_MARKS)
-        if core and len(core) < len(chunk) and core[-1].isalpha():
-            value = self[core] + self[chunk[len(core):]]
-        elif chunk and max(chunk) < "\u0130" and chunk != chunk.lower():
-            value = self[chunk.lower()]
-        elif chunk.isalpha() and max(chunk) < "\u0130":
-            value = np.array(self.word(chunk), "<u4").tobytes()
-        else:
-            value = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         self[chunk] = value
         return value
 
@@ -119,9 +126,10 @@ def sum_of_squares(sizes: np.ndarray, length: int) -> np.ndarray:
         here = counts[size:length]
         gap = -1
         if here.any():
-            after = counts[:length - size] + 1
-            after[0] = 0
-            change = np.where(here > 0, after - here, np.iinfo(np.int64).max)
+            # squares grow by 2 n + 1 where a bin comes to n others, and by 1 - 2 n where one leaves n; full bins don't count
+            after = 2 * counts[:length - size] + 2
+            after[0] = 1
+            change = np.where(here > 0, after - 2 * here, np.iinfo(np.int64).max)
             gap = size + int(change.argmin())
         if gap < 0:
             to, gap = opened, length

@@ -55,6 +55,54 @@ def test_packing_round_trip(spark):
     assert len(places) <= -(-total // 128) + 2
 
 
+def test_ids_are_those_of_the_tokenizer(monkeypatch):
+    import random
+
+    from tokenizers import Tokenizer
+
+    tokenizer, rng = Tokenizer.from_file(VOCABULARY), random.Random(2)
+    monkeypatch.setattr(packing, "_CHUNKS", 50)
+    packing._encoder.cache_clear()
+    encode = packing._encoder(VOCABULARY)
+    letters = "abZÉßİıſǅΣςσ\u0345東'’sT0²½ \n\t\u00a0\u0301\u0307.,!?;:*#$%&|=-_\U0001f600"
+    texts = ["İ#", "I\u0307.", "Σ,", *("".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(8000))]
+    for text in texts:
+        assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    packing._encoder.cache_clear()
+
+
+def naive_sum_of_squares(sizes, length):
+    """Bins by trying each gap and adding up all squares; large sizes first."""
+    gaps, bins = [], [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        fits = sorted({g for g in gaps if g >= sizes[i]})
+
+        def squares(gap):
+            after = [*gaps, gap - sizes[i]]
+            after.remove(gap)
+            return sum(after.count(g) ** 2 for g in set(after) if g)
+
+        if fits:
+            gap = min(fits, key=lambda g: (squares(g), g))
+            at = max(k for k, g in enumerate(gaps) if g == gap)
+            gaps[at] -= sizes[i]
+        else:
+            at = len(gaps)
+            gaps.append(length - sizes[i])
+        bins[i] = at
+    return sorted(gaps)
+
+
+def test_places_are_those_of_the_naive_rule():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        length = int(rng.integers(4, 30))
+        sizes = rng.integers(1, length + 1, int(rng.integers(1, 60)))
+        bins = packing.sum_of_squares(sizes, length)
+        left = sorted((length - np.bincount(bins, sizes).astype(int)).tolist())
+        assert left == naive_sum_of_squares(sizes.tolist(), length)
+
+
 def test_packing_of_nothing_and_many_shards(spark):
     assert packing.pack(docs(spark, []), VOCABULARY).count() == 0
     pieces = spark.range(3000).select(F.col("id").alias("row"), (F.col("id") % 60 + 1).alias("length"))
