@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from spanveil.llm.text import dropped, map_texts, raw, words, written
+from spanveil.llm.text import dropped, free_name, map_texts, raw, words, written
 
 #: Words of test items in one automaton (about 100 bytes each); more items make more automata.
 BLOCK_WORDS = 500_000
@@ -53,6 +53,11 @@ class Automaton:
             if self.length[state] >= window:
                 up = self.link[state]
                 self.cut[state] = state if self.length[up] < window else self.cut[up]
+        #: The longest suffix of each state, itself included, that is a short item; 0 if none is.
+        self.short_up = [0] * len(self.length)
+        if self.short:
+            for state in order:
+                self.short_up[state] = state if state in self.short else self.short_up[self.link[state]]
         self.holders = {s: tuple(seen[s]) for s in set(self.cut) - {-1}}
 
     def _extend(self, last: int, word: bytes, seen: list[set[int]]) -> int:
@@ -109,14 +114,13 @@ class Automaton:
                 if matched >= self.window:
                     items.update(self.holders[self.cut[state]])
                     _add(spans, i + 1 - self.window, i + 1)
-                if self.short:
-                    at = state
-                    while at > 0:
-                        for n, number in self.short.get(at, ()):
-                            if n <= matched:
-                                items.add(number)
-                                _add(spans, i + 1 - n, i + 1)
-                        at = self.link[at]
+                at = self.short_up[state]
+                while at > 0:
+                    for n, number in self.short[at]:
+                        if n <= matched:
+                            items.add(number)
+                            _add(spans, i + 1 - n, i + 1)
+                    at = self.short_up[self.link[at]]
         return spans, items
 
 
@@ -130,7 +134,7 @@ def _add(spans: list[tuple[int, int]], start: int, end: int) -> None:
 def _blocks(benchmark: DataFrame, block_words: int):
     """Items with words, in blocks of at most ``block_words`` words (one item at least), ordered by id."""
     block, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("string"), "text").where("item_id is not null and text is not null")
+    rows = benchmark.select(F.col("item_id").cast("string"), "text").where("text is not null")
     for item, text in rows.orderBy("item_id", "text").toLocalIterator():
         if item_words := words(text):
             if block and size + len(item_words) > block_words:
@@ -152,8 +156,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     """Adds ``n_words``, ``hits`` (runs of words inside an occurring window) and ``items`` (their ids).
 
     A window is ``window`` consecutive words of an item, or a whole shorter item. Null and
-    empty texts have no words; items without words or id never occur; repeated items count
-    once by id. An automaton holds a bounded number of item words. Larger benchmarks make more
+    empty texts have no words; items without words never occur; repeated items count once by id,
+    and those without id are hit but not named. An automaton holds a bounded number of item words. Larger benchmarks make more
     automata, which read the documents one after the other, each from a table in the shared
     folder that the one before wrote, so the result is the same. Input
     columns called like the new ones are replaced. ``keep`` names the input columns of the
@@ -175,7 +179,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
 def _scan(docs: DataFrame, block: list, window: int, more: bool, keep: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(block)
-    before = docs.withColumns({"hits_before": F.col("hits"), "items_before": F.col("items")}) if more else docs
+    hits, items = (free_name(c, docs.columns) for c in ("hits", "items"))
+    before = docs.withColumns({hits: F.col("hits"), items: F.col("items")}) if more else docs
 
     def make():
         automaton = Automaton(shared.value, window)
@@ -187,15 +192,15 @@ def _scan(docs: DataFrame, block: list, window: int, more: bool, keep: list[str]
                 spans, numbers = automaton.scan(tokens) if automaton.vocabulary else ([], ())
                 out["n_words"].append(len(tokens))
                 out["hits"].append([{"start": s, "end": e} for s, e in spans])
-                out["items"].append(sorted({automaton.ids[n] for n in numbers}))
+                out["items"].append(sorted({automaton.ids[n] for n in numbers} - {None}))
             return out
 
         return work
 
-    scanned = map_texts(before, "text", make, _HITS, keep + ["hits_before", "items_before"] * more)
+    scanned = map_texts(before, "text", make, _HITS, keep + [hits, items] * more)
     if not more:
         return scanned
-    merged = F.sort_array(F.concat("hits_before", "hits"))
+    merged = F.sort_array(F.concat(hits, "hits"))
     united = F.aggregate(merged, F.array().cast(_HITS[1].dataType), lambda done, x: F.when(
         (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= x["start"]),
         F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(
@@ -203,8 +208,8 @@ def _scan(docs: DataFrame, block: list, window: int, more: bool, keep: list[str]
             F.greatest(F.try_element_at(done, F.lit(-1))["end"], x["end"]).alias("end")))))
         .otherwise(F.concat(done, F.array(x))))
     return (scanned.withColumn("hits", united)
-            .withColumn("items", F.array_sort(F.array_union("items_before", "items")))
-            .drop("hits_before", "items_before"))
+            .withColumn("items", F.array_sort(F.array_union(items, "items")))
+            .drop(hits, items))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -226,7 +231,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     automata are joined before a document is judged or cut, so the result is that of one.
     """
     columns = docs.columns
-    benchmark = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
     blocks = _blocks(benchmark, block_words)
     block = next(blocks, [])
     if next(blocks, None) is None:
@@ -269,6 +273,7 @@ def _without(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def _cut(docs: DataFrame, block: list, window: int, most: float) -> DataFrame:
+    stays = free_name("stays", docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def make():
@@ -288,7 +293,7 @@ def _cut(docs: DataFrame, block: list, window: int, most: float) -> DataFrame:
 
         def work(texts):
             done = [clean(t) for t in texts]
-            return {"text": [t for t, _ in done], "keep_row": [k for _, k in done],
+            return {"text": [t for t, _ in done], stays: [k for _, k in done],
                     "n_chars": [None if t is None else len(t) for t, _ in done]}
 
         return work
@@ -296,4 +301,4 @@ def _cut(docs: DataFrame, block: list, window: int, most: float) -> DataFrame:
     fields = [StructField("text", StringType())]
     if "n_chars" in docs.columns:
         fields.append(StructField("n_chars", LongType()))
-    return map_texts(docs, "text", make, [*fields, StructField("keep_row", BooleanType())]).where("keep_row").drop("keep_row")
+    return map_texts(docs, "text", make, [*fields, StructField(stays, BooleanType())]).where(F.col(stays)).drop(stays)

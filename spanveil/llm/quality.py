@@ -6,6 +6,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField
@@ -17,6 +18,7 @@ SAMPLE = 8_000
 #: Buckets for n-grams of words, and as many again for n-grams of word shapes.
 BUCKETS = 1 << 17
 FOLDS, HELD_OUT = 5, 0
+_LONGEST = 40
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 
@@ -39,7 +41,7 @@ class _Words(dict):
     def __missing__(self, word: str) -> tuple[int, int]:
         if len(self) >= self.limit:
             self.clear()
-        kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:40])
+        kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
         shape = _RUN.sub(r"\1\1", kinds)
         pair = self[word] = (xxhash.xxh3_64_intdigest(raw(word.lower())), xxhash.xxh3_64_intdigest(raw(shape)))
         return pair
@@ -48,11 +50,14 @@ class _Words(dict):
 def features(text: str | None, cache: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams in a text: one and two words, and one to four word shapes.
 
-    A word equal to the one before it has another shape. An empty text has none.
+    A word equal to the one before it has another shape. Words of more than ``_LONGEST`` characters,
+    as in texts without white space, count as several. An empty text has none.
     """
     tokens = (text or "").split()
     if not tokens:
         return np.empty(0, np.int64), np.empty(0, np.int64)
+    if max(map(len, tokens)) > _LONGEST:
+        tokens = [t[i:i + _LONGEST] for t in tokens for i in range(0, len(t), _LONGEST)]
     word, shape = (np.fromiter(column, np.uint64, len(tokens)) for column in zip(*map(cache.__getitem__, tokens)))
     shape[1:] += np.uint64(77) * (word[1:] == word[:-1])
     out = []
@@ -71,22 +76,47 @@ def _vector(text: str | None, cache: _Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate([np.full(len(p), 1 / math.sqrt(max(len(p), 1))) for p in parts])
 
 
-def dual_coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, size: int,
-                            cost: float = 1.0, rounds: int = 20, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and bias of the linear support vector machine with hinge loss.
+class Rows:
+    """Vectors of texts: flat buckets of words and of shapes, each kind scaled to unit length.
+
+    ``ratio`` multiplies the values of each bucket; until it is set, they are as they are. Only
+    the buckets are kept, 4 bytes each.
+    """
+
+    def __init__(self, words: pa.ListArray, shapes: pa.ListArray):
+        self.parts = [(p.offsets.to_numpy(), p.values.to_numpy()) for p in (words, shapes)]
+        self.scales = [1 / np.sqrt(np.maximum(np.diff(offsets), 1)) for offsets, _ in self.parts]
+        self.ratio: np.ndarray | None = None
+
+    def __len__(self) -> int:
+        return len(self.scales[0])
+
+    def buckets(self, i: int) -> np.ndarray:
+        return np.concatenate([values[offsets[i]:offsets[i + 1]] for offsets, values in self.parts])
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        at = self.buckets(i)
+        values = np.repeat([scale[i] for scale in self.scales], [offsets[i + 1] - offsets[i] for offsets, _ in self.parts])
+        return at, values if self.ratio is None else values * self.ratio[at]
+
+
+def dual_coordinate_descent(rows, signs: np.ndarray, size: int, cost: float = 1.0, rounds: int = 20, seed: int = 7,
+                            numbers: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights and bias of the linear support vector machine with hinge loss, from all rows or those with some numbers.
 
     Each step solves the dual problem of one row, whose multiplier stays in [0, cost].
     Both classes count the same: the cost of a row is divided by the share of its class.
     """
     weights, bias = np.zeros(size), 0.0
-    alpha = np.zeros(len(rows))
-    norms = np.array([v @ v + 1.0 for _, v in rows])
-    upper = cost * len(rows) / (2 * np.where(signs > 0, max((signs > 0).sum(), 1), max((signs < 0).sum(), 1)))
+    numbers = np.arange(len(rows)) if numbers is None else numbers
+    alpha = np.zeros(len(numbers))
+    norms = np.array([v @ v + 1.0 for _, v in (rows[i] for i in numbers)])
+    upper = cost * len(numbers) / (2 * np.where(signs > 0, max((signs > 0).sum(), 1), max((signs < 0).sum(), 1)))
     order = np.random.default_rng(seed)
     for _ in range(rounds):
         most = 0.0
-        for i in order.permutation(len(rows)).tolist():
-            at, values = rows[i]
+        for i in order.permutation(len(numbers)).tolist():
+            at, values = rows[numbers[i]]
             gradient = signs[i] * (weights[at] @ values + bias) - 1
             new = min(max(alpha[i] - gradient / norms[i], 0.0), upper[i])
             step = (new - alpha[i]) * signs[i]
@@ -134,31 +164,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = labelled_sample(docs, labels, "quality", sample, FOLDS, HELD_OUT)
     table = map_texts(chosen, "text", make, [StructField("word_buckets", kind), StructField("shape_buckets", kind)],
                       ["doc_id", "label"]).toArrow()
-    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
-    label = table["label"].to_numpy()
-    rows = []
-    parts = [table[c].combine_chunks() for c in ("word_buckets", "shape_buckets")]
-    for i in order.tolist():
-        pair = [p[i].values.to_numpy().astype(np.int64) for p in parts]
-        rows.append((np.concatenate(pair), np.concatenate([np.full(len(p), 1 / math.sqrt(max(len(p), 1))) for p in pair])))
-    positive = label[order] == 1
+    table = table.take(np.argsort(table["doc_id"].to_numpy(), kind="stable")).combine_chunks()
+    positive = table["label"].to_numpy() == 1
+    rows = Rows(*[table[c].chunk(0) if len(table) else pa.array([], table[c].type) for c in ("word_buckets", "shape_buckets")])
+    del table
     size = 2 * BUCKETS
     if positive.all() or not positive.any():
         share = (positive.sum() + 1) / (len(positive) + 2)
         return Model(np.zeros(size), 0.0, 1.0, math.log(share / (1 - share)))
     counts = np.ones((2, size))
-    for (at, _), y in zip(rows, positive):
-        counts[int(y), at] += 1
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    scaled = [(at, ratio[at] * v) for at, v in rows]
+    for i, y in enumerate(positive):
+        counts[int(y), rows.buckets(i)] += 1
+    rows.ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     curve = np.arange(len(rows)) % 5 == 4
     if not (positive[curve].any() and (~positive[curve]).any() and positive[~curve].any() and (~positive[~curve]).any()):
         curve[:] = False
     fitted = np.flatnonzero(~curve)
-    weights, bias = dual_coordinate_descent([scaled[i] for i in fitted], np.where(positive[fitted], 1.0, -1.0), size)
+    weights, bias = dual_coordinate_descent(rows, np.where(positive[fitted], 1.0, -1.0), size, numbers=fitted)
     judged = np.flatnonzero(curve) if curve.any() else fitted
-    margins = np.array([weights[scaled[i][0]] @ scaled[i][1] + bias for i in judged])
-    return Model(weights * ratio, bias, *_logistic(margins, positive[judged]))
+    margins = np.array([weights[at] @ values + bias for at, values in (rows[i] for i in judged)])
+    model = Model(weights * rows.ratio, bias, *_logistic(margins, positive[judged]))
+    del rows
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score_quality(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:

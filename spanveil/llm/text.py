@@ -108,6 +108,14 @@ def map_texts(df: DataFrame, text: str, make: Callable[[], Callable[[list], dict
     return source.mapInArrow(run, schema)
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """A column name like ``name`` that is not among ``columns``, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while f"{name}_".lower() in taken:
+        name += "_"
+    return f"{name}_"
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, at_most: int, folds: int, held_out: int) -> DataFrame:
     """Texts and labels to learn from: at most ``at_most`` labelled documents, chosen by a hash of the id.
 

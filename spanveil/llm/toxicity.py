@@ -26,7 +26,7 @@ minable pitoyable abruti dummkopf trottel versager abschaum dreck widerlich erb
 SECOND = frozenset("""you your yours yourself u ur du dich dir dein deine euch ihr sie tu te ti tú tus usted ustedes vosotros
 toi vous votre vos ton ta tes""".split())
 _LEET = str.maketrans("013457@$", "oieastas")
-_MIXED = re.compile(r"[A-Za-z]+[0-9@$*!]+[A-Za-z]+")
+_MIXED = re.compile(r"(?<![A-Za-z])[A-Za-z]++[0-9@$*!]++[A-Za-z]++")
 _SPACED = re.compile(r"\b(?:[A-Za-z][ .\-_]){3,}[A-Za-z]\b")
 _STRETCHED = re.compile(r"([A-Za-z])\1{2,}")
 _WORD = re.compile(r"[^\W_]+(?:[@$*!][^\W_]+)*")

@@ -260,6 +260,68 @@ def test_decontaminate_does_not_depend_on_blocks(spark):
     assert split(got[4][1]) == own and split(got[5][1]) == own
 
 
+def test_passages_of_items_without_id_and_in_blocks_with_clashing_columns(spark):
+    one, two = ([f"{c}{k}" for k in range(20)] for c in "ab")
+    items = spark.createDataFrame([("1", " ".join(one)), (None, " ".join(two)), ("3", "short one")], "item_id string, text string")
+    rows = [(1, " ".join(one), 1, "x", True), (2, " ".join(two), 1, "x", True), (3, "x short one y", 1, "x", True), (4, None, 1, "x", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, hits_ int, items_ string, stays_ boolean")
+    for block in (500_000, 20):
+        found = decontaminate.find_passages(table, items, block_words=block)
+        got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in decontaminate.digest(found).collect()}
+        assert got == {1: (20, 1, True), 2: (20, 0, True), 3: (2, 1, True), 4: (0, 0, False)}
+        kept = decontaminate.decontaminate(table, items, block_words=block)
+        assert kept.columns == table.columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 4]
+
+
+def test_short_items_are_found_in_one_walk():
+    import time
+
+    item = ["same"] * 20_000
+    automaton = decontaminate.Automaton([("long", item), ("short", ["other", "words"])], 10)
+    start = time.perf_counter()
+    spans, found = automaton.scan(item + ["other", "words"])
+    assert spans == [(0, 20_002)] or spans == [(0, 20_000), (20_000, 20_002)]
+    assert found == {0, 1} and time.perf_counter() - start < 3
+
+
+def test_dual_coordinate_descent_reaches_the_optimum():
+    rng = np.random.default_rng(1)
+    points = rng.normal(size=(60, 3)) + np.repeat([[1.0, 0, 0], [-1.0, 0, 0]], 30, axis=0)
+    signs = np.repeat([1.0, -1.0], 30)
+    rows = [(np.arange(3), p) for p in points]
+    weights, bias = quality.dual_coordinate_descent(rows, signs, 3, rounds=4000)
+
+    def loss(w):
+        return w @ w / 2 + np.maximum(0, 1 - signs * (points @ w[:3] + w[3])).sum()
+
+    # subgradient descent by a plainer path
+    w, best = np.zeros(4), np.inf
+    for k in range(60_000):
+        active = signs * (points @ w[:3] + w[3]) < 1
+        step = w - (signs * active) @ np.column_stack([points, np.ones(60)])
+        w = w - step / (k + 20)
+        best = min(best, loss(w))
+    assert loss(np.append(weights, bias)) <= best * 1.001
+
+
+def test_long_runs_of_letters_are_read_once():
+    import time
+
+    text = "a" * 300_000 + " b1b c$$d2e F!g " + "東" * 100_000
+    start = time.perf_counter()
+    assert len(toxicity._MIXED.findall(text)) == len(re.findall(r"[A-Za-z]+[0-9@$*!]+[A-Za-z]+", text[299_990:])) == 3
+    toxicity.dense(text, toxicity._Odds({"bad": (5, 0)}, 0.0))
+    assert time.perf_counter() - start < 10
+
+
+def test_quality_reads_whole_words():
+    cache = quality._Words()
+    long = "東" * 60 + "京a1" * 40
+    one, other = (np.concatenate(quality.features(t, cache)) for t in (long + "X!" * 30, long + "zz" * 30))
+    assert not np.array_equal(one, other)
+    assert len(quality.features("x" * 1_000_000, cache)[0]) > 0
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (2, 2, "user", "more"),
             (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (3, 2, "user", "more"), (3, 2, "user", "more"), (4, 0, "user", None),
