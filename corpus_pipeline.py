@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanveil.llm import decontaminate, jaccard, packing, quality, secret_scan
-from spanveil.llm.text import shared_path
+from spanveil.llm.text import free_name, shared_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Documents whose probability of good quality is lower go.
@@ -16,8 +16,10 @@ LEAST_QUALITY = 0.3
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject; it learns from the labels beside the table."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.score_quality(docs.withColumnRenamed("score", "score_before"), quality.fit(docs, labels))
-    return scored.where(F.col("score") >= LEAST_QUALITY).drop("score").withColumnRenamed("score_before", "score")
+    before = free_name("score", docs.columns)
+    scored = quality.score_quality(docs.withColumnRenamed("score", before), quality.fit(docs, labels))
+    return scored.where(F.col("score") >= LEAST_QUALITY).select(
+        *[F.col(before if c == "score" else c).alias(c) for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +38,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences of 2048 ids: where each document's ids go, with their checksum."""
-    return packing.pack(docs, VOCABULARY, keep_ids=False)
+    """Pieces of token sequences of 2048 ids: where each document's ids go, the ids and their checksum."""
+    return packing.pack(docs, VOCABULARY)
 
 
 STAGES = [("quality", good_quality), ("near_duplicates", one_of_each_group), ("decontaminate", without_benchmark),
@@ -48,7 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each result is written to the shared folder and read again."""
+    """All stages on ``documents``; each result is written to the shared folder and read again.
+
+    Rows with a null text or id go through all stages: an empty text is judged as such, links with
+    nothing and packs as one id. Of rows with the same text one stays, also if they share an id; of
+    near duplicates, that with the smallest id. An empty table gives an empty result.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         path = shared_path(spark)
