@@ -34,13 +34,18 @@ class Model:
 class _Words(dict):
     """Hashes of a word and of its shape: kinds of letters, runs taken together."""
 
-    def __init__(self, limit: int = 150_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
-        self.limit = limit
+        self.limit, self.older = limit, {}
 
     def __missing__(self, word: str) -> tuple[int, int]:
         if len(self) >= self.limit:
+            # words that aren't used again until the next such change go
+            self.older = self.copy()
             self.clear()
+        if (pair := self.older.get(word)) is not None:
+            self[word] = pair
+            return pair
         kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
         shape = _RUN.sub(r"\1\1", kinds)
         pair = self[word] = (xxhash.xxh3_64_intdigest(raw(word.lower())), xxhash.xxh3_64_intdigest(raw(shape)))
