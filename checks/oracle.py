@@ -305,6 +305,12 @@ ORACLE: dict[str, str] = {
     "mask_character": _masked_notes({c: "'********'" for c in _CATEGORIES}),
     "listed_names": _LISTED,
     "listed_names_joined": _LISTED,
+    "listed_names_any_length": (
+        "SELECT CASE WHEN c_custkey % 5 <> 0 THEN c_custkey END AS note_id, 'Case ' || c_custkey || ': spoke with ' || "
+        "CASE WHEN c_custkey % 3 <> 0 THEN '[NAME]' "
+        "WHEN c_custkey % 2 = 0 THEN 'Anna van der K' || translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij') "
+        "ELSE 'Maria del Carmen K' || translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij') || ' Garcia' END "
+        "|| '''s agent and maria del carmen, not Anna van Dam.' AS text FROM customer"),
     "masked_by_model": "SELECT doc_id, regexp_replace(text, '[0-9]+', '#', 'g') AS text FROM documents",
     "leaf_mask_attributes": (
         "SELECT CAST(event_id AS VARCHAR) AS span_id, "

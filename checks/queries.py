@@ -104,7 +104,19 @@ def listed_names_joined(spark, folder):
     notes = _notes(spark, folder)
     listed = notes.where(F.col("note_kind") == 1).select("name")
     return mask_listed_names(notes.select("note_id", "text"), "text", listed,
-                             Policy(categories=()), "note_id", max_literals=0)
+                             Policy(categories=()), slice_names=100)
+
+
+def listed_names_any_length(spark, folder):
+    """Names of four and five words with small particles; some rows have no key."""
+    number = F.col("c_custkey")
+    letters = F.concat(F.lit("K"), F.translate(number.cast("string"), "0123456789", "abcdefghij"))
+    name = F.when(number % 2 == 0, F.concat(F.lit("Anna van der "), letters)).otherwise(
+        F.concat(F.lit("Maria del Carmen "), letters, F.lit(" Garcia")))
+    people = _table(spark, folder, "customer").select(number.alias("id"), name.alias("name"))
+    texts = people.select(F.when(F.col("id") % 5 != 0, F.col("id")).alias("note_id"), F.concat(
+        F.lit("Case "), "id", F.lit(": spoke with "), "name", F.lit("'s agent and maria del carmen, not Anna van Dam.")).alias("text"))
+    return mask_listed_names(texts, "text", people.where("id % 3 <> 0").select("name"), Policy(categories=()))
 
 
 def _digit_model():
@@ -471,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "mask_character": _masked_notes(Policy(CATEGORIES, mask_character="*")),
     "listed_names": listed_names,
     "listed_names_joined": listed_names_joined,
+    "listed_names_any_length": listed_names_any_length,
     "masked_by_model": masked_by_model,
     "leaf_mask_attributes": leaf_mask_attributes,
     "allowlisted_keys": allowlisted_keys,

@@ -67,6 +67,36 @@ def test_listed_names(spark, max_literals):
                    4: "nothing here", 5: "[NAME] [NAME]"}
 
 
+@pytest.mark.parametrize("slice_names", [2, 1000])
+def test_listed_names_of_any_length(spark, slice_names):
+    texts = {
+        "Dr. Anna van der Berg's flat": "Dr. [NAME]'s flat", "ANNA VAN DER BERG": "[NAME]", "anna van der berg": "anna van der berg",
+        "Maria del Carmen  Lopez\nGarcia Ruiz left": "[NAME] left", "Anna. Van der Berg": "Anna. Van der Berg", "J. R. Smith, J.R. Smith": "[NAME], [NAME]",
+        "Bob Ray Ann": "[NAME]", "Zoe\u0301 O\u2019Hara": "[NAME]", "Zo\u00e9 O'Hara2": "[NAME]2", "王小明": "[NAME]", "Joann Lee": "Joann Lee", "": ""}
+    rows = [(None if i % 2 else i, t, "x") for i, t in enumerate(texts)] + [(None, None, "x")]
+    df = spark.createDataFrame(rows, "id int, text string, text_places string")
+    names = spark.createDataFrame([(n,) for n in ("Anna van der Berg", "Maria del Carmen Lopez Garcia Ruiz", "J R Smith", "Bob Ray", "Ray Ann",
+                                                  "zoé o'hara", "王小明", "Ann Lee", "Ann Lee", " ", None, "42")], "name string")
+    out = mask_listed_names(df, "text", names, Policy(()), slice_names=slice_names)
+    assert out.columns == df.columns
+    assert sorted(r["text"] for r in out.collect() if r["text"] is not None) == sorted(texts.values())
+    hashed = mask_listed_names(df, "text", names, Policy((), mode="hash", salt="s"), slice_names=slice_names)
+    values = {r["text"] for r in hashed.collect()}
+    assert not any("Anna van der" in (v or "") for v in values)
+    assert mask_listed_names(df, "text", names.limit(0), Policy(())) is df
+
+
+def test_listed_names_in_a_stream(spark, tmp_path):
+    spark.createDataFrame([("Call Anna van der Berg.",), (None,)], "text string").write.parquet(str(tmp_path / "in"))
+    letters = "abcdefghij"
+    names = spark.createDataFrame([(f"Given van N{letters[i // 10]}{letters[i % 10]}",) for i in range(50)] + [("Anna van der Berg",)], "name string")
+    stream = spark.readStream.schema("text string").parquet(str(tmp_path / "in"))
+    query = (mask_listed_names(stream, "text", names, Policy(()), slice_names=20).writeStream.format("parquet")
+             .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert {r["text"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"Call [NAME].", None}
+
+
 def test_prompt_lines(spark, tmp_path):
     records = [{"prompt": f"p{i} a@b.co", "response": f"r{i}\n(415) 555-0{i % 1000:03d}"} for i in range(1, 4001)]
     folder = tmp_path / "prompts"
