@@ -418,4 +418,5 @@ ORACLE: dict[str, str] = {
                          "true AS adjacent FROM events GROUP BY 1"),
 }
 # The pipeline's tables equal those of one batch.
-ORACLE |= {"stream_spans": ORACLE["redacted_spans"], "stream_annotations": ORACLE["redacted_annotations"]}
+ORACLE |= {"stream_spans": ORACLE["redacted_spans"], "stream_annotations": ORACLE["redacted_annotations"],
+           "trace_unified_maintained": ORACLE["trace_unified"]}

@@ -28,6 +28,7 @@ from spanveil.sources.samples import (annotations_from_labels, logs_from_documen
                                       notes_from_orders, spans_from_events, tags_from_labels)
 from spanveil.sources.tables import check_sources, spread
 from spanveil.streaming.pipeline import full_refresh, read_redacted, run
+from spanveil.streaming.unified import maintain_view, publish_unified
 
 DEFAULT = Policy()
 EVERYTHING = Policy(CATEGORIES, {"employee_id": r"EMP-\d{6}"})
@@ -243,7 +244,10 @@ def _span_text(span: Column) -> Column:
 
 
 def trace_view(spark, folder):
-    view = trace_unified(redact_spans(_spans(spark, folder), DEFAULT), _annotations(spark, folder))
+    return _view_text(trace_unified(redact_spans(_spans(spark, folder), DEFAULT), _annotations(spark, folder)))
+
+
+def _view_text(view: DataFrame) -> DataFrame:
     return view.select(
         "trace_id", "date", "request_time_nano", "execution_duration_nano",
         F.array_join(F.transform("spans", _span_text), ";").alias("spans"),
@@ -252,6 +256,22 @@ def trace_view(spark, folder):
         "part")
 
 
+def trace_view_maintained(spark, folder):
+    """The view kept up to date over two arrivals of spans, annotations with the second, read by its name in another session."""
+    config = PipelineConfig(source_root=shared_folder(spark), source_schema="raw", target_root=shared_folder(spark),
+                            target_schema=f"clean_{uuid.uuid4().hex}", table_prefix="app")
+    spans = _spans(spark, folder)
+    early = F.crc32("span_id") < 3_000_000_000
+    _write(spans.where(early), config.raw_path("spans"))
+    run(spark, config)
+    maintain_view(spark, config, buckets=2)
+    _write(spans.where(~early), config.raw_path("spans"))
+    _annotations(spark, folder).write.parquet(config.raw_path("annotations"))
+    run(spark, config)
+    maintain_view(spark, config)
+    return _view_text(spark.newSession().table(publish_unified(spark, config)))
+
+
 def trace_view_parts(spark, folder):
     """Long lists in several parts: nothing is lost and all parts carry the times of the trace."""
     view = trace_unified(redact_spans(_spans(spark, folder), DEFAULT), _annotations(spark, folder),
@@ -500,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "trace_filter": trace_filter,
     "redacted_view": redacted_view,
     "trace_unified": trace_view,
+    "trace_unified_maintained": trace_view_maintained,
     "trace_unified_parts": trace_view_parts,
     "trace_unified_tags": trace_view_tags,
     "annotations_by_target": target_annotations,
