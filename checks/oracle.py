@@ -242,8 +242,9 @@ def _leaks() -> str:
     for category in ("email", "credit_card", "ssn", "ip_address", "phone"):
         rows += [f"SELECT 'logs' AS table_name, '{column}' AS column_name, '{category}' AS category, "
                  f"count(*) FILTER ({_contains(category, text)}) AS rows_with_hit FROM d"
-                 for column, text in (("service_name", "service_name"), ("body", "body"),
-                                      ("attributes", "attributes"), ("resource", "resource_attributes"))]
+                 for column, text in (*((c, c) for c in (
+                     "record_id", "service_name", "event_name", "trace_id", "span_id", "severity_text", "body", "attributes",
+                     "resource_schema_url", "instrumentation_scope", "log_schema_url")), ("resource", "resource_attributes"))]
     return f"WITH d AS ({_LOGS}) " + " UNION ALL ".join(rows)
 
 
@@ -267,14 +268,16 @@ def _recall() -> str:
             "nullif(count(*) FILTER (NOT sensitive), 0), 4) AS kept_share FROM truth GROUP BY category")
 
 
-_RECORDS = ("SELECT q.conv_id, q.turn, q.text AS prompt, a.text AS response FROM conversations q "
-            "JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1 "
-            "WHERE q.role = 'user' AND a.role = 'assistant'")
+# Every turn once: an answer goes to the turn before it, if that isn't an answer itself.
+_RECORDS = ("SELECT conv_id, place AS turn, max(text) FILTER (NOT answer) AS prompt, max(text) FILTER (answer) AS response FROM ("
+            "SELECT conv_id, text, coalesce(role = 'assistant', false) AS answer, "
+            "CASE WHEN coalesce(role = 'assistant', false) THEN turn - 1 ELSE turn END AS place FROM conversations) "
+            "GROUP BY conv_id, place")
 
 
 def _inner_json(key: str, value: str) -> str:
     """A JSON document held as a string inside another one."""
-    return f"to_json('{{\"{key}\":' || CAST(to_json({value}) AS VARCHAR) || '}}')"
+    return f"to_json('{{\"{key}\":' || coalesce(CAST(to_json({value}) AS VARCHAR), 'null') || '}}')"
 
 
 _MASKED_RECORD = ("email", "credit_card", "ssn", "phone")
@@ -393,7 +396,7 @@ ORACLE: dict[str, str] = {
         f"{_inner_json('response', _mask('response', *_MASKED_RECORD))} || ',\"test.line_number\":' || turn || "
         "',\"test.purpose\":\"pii-redaction-validation\"}' AS attributes, "
         "'{\"deployment\":\"redaction-demo\",\"service.name\":\"generator\"}' AS resource_attributes FROM k"),
-    "prompt_lines": f"SELECT count(*) AS lines, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS beyond FROM ({_RECORDS})",
+    "prompt_lines": _RECORDS,
     "stream_incremental": (
         _STREAM_LOGS + f"{_mask('text', *_DEFAULT)} AS body, "
         + _log_attributes("'[EMAIL]'") + " AS attributes FROM documents"),

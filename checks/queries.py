@@ -5,7 +5,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanveil import PipelineConfig, Policy
@@ -339,9 +339,7 @@ def coverage_by_day(spark, folder):
 
 def leaks(spark, folder):
     """Redacted for the default categories, scanned for all pattern categories."""
-    redacted = redact_logs(_logs(spark, folder), DEFAULT).select(
-        "service_name", "body", "attributes", "resource")
-    return leak_scan(redacted, Policy(("email", "phone", "credit_card", "ip_address", "ssn")), "logs")
+    return leak_scan(redact_logs(_logs(spark, folder), DEFAULT), Policy(("email", "phone", "credit_card", "ip_address", "ssn")), "logs")
 
 
 def recall_by_category(spark, folder):
@@ -360,12 +358,13 @@ def recall_by_category(spark, folder):
 # --- sources, streams, layout
 
 def _conversation_records(spark, folder):
+    """All turns: those of the assistant as responses to the turn before, others as prompts; either may lack the other."""
     turns = _table(spark, folder, "conversations")
-    questions = turns.where("role = 'user'").select(
-        "conv_id", "turn", F.col("text").alias("prompt"))
-    answers = turns.where("role = 'assistant'").select(
+    answer = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    questions = turns.where(~answer).select("conv_id", "turn", F.col("text").alias("prompt"))
+    answers = turns.where(answer).select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response"))
-    return questions.join(answers, ["conv_id", "turn"])
+    return questions.join(answers, ["conv_id", "turn"], "full")
 
 
 def prompt_spans(spark, folder):
@@ -378,16 +377,20 @@ def prompt_spans(spark, folder):
 
 
 def prompt_lines(spark, folder):
-    """Records written as JSON lines and read back with their line numbers."""
+    """Records written as JSON lines and read back: each line with its number, from 1, in the order of its file."""
     path = shared_folder(spark)
-    _conversation_records(spark, folder).select("prompt", "response").write.json(path)
+    records = _conversation_records(spark, folder).repartition(3, "conv_id").sortWithinPartitions("conv_id", "turn")
+    records.select(F.to_json(F.struct("prompt", "response", F.struct("conv_id", "turn").alias("own")), {"ignoreNullFields": "false"})
+                   .alias("value")).write.text(path)
+    own = spark.read.schema("prompt string, response string, own struct<conv_id: long, turn: long>").json(path).select(
+        "own.*", "prompt", "response", F.col("_metadata.file_path").alias("file"))
+    # the order of a file is that of the records that were written to it
+    place = F.row_number().over(Window.partitionBy("file").orderBy("conv_id", "turn"))
     lines = read_prompts(spark, path)
-    files = lines.groupBy("file").agg(F.count("*").alias("lines"),
-                                      F.count_distinct("line_number").alias("numbers"),
-                                      F.max("line_number").alias("last"))
-    return files.agg(F.sum("lines").alias("lines"),
-                     F.sum((F.col("lines") - F.col("numbers"))).alias("repeated"),
-                     F.sum((F.col("lines") - F.col("last"))).alias("beyond"))
+    numbered = own.withColumn("line_number", place).join(
+        lines.select("file", "line_number", F.col("prompt").alias("read_prompt"), F.col("response").alias("read_response")),
+        ["file", "line_number"], "full")
+    return numbered.select("conv_id", "turn", F.col("read_prompt").alias("prompt"), F.col("read_response").alias("response"))
 
 
 def _filled_config(spark, folder, first: Column | None = None, **settings) -> PipelineConfig:
