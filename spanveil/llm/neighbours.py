@@ -2,7 +2,9 @@
 
 Graph and queries live in Spark tables; each round of either is a few joins and ends in a
 written table. Nodes are distinct vectors. To find large inner products by a graph of near
-points, each vector gets one more component that brings all to the same length.
+points, each vector gets one more component that brings all to the same length. Vectors whose
+lengths differ by more than a factor of four are in different classes, each with its own scale
+and its own part of the graph, and every query searches all classes.
 """
 from __future__ import annotations
 
@@ -23,6 +25,8 @@ ROUNDS = 10
 SETTLED = 0.02
 #: Nodes from which each query starts besides its own, the nodes it remembers, and those it follows in a round.
 ENTRIES, BEAM, STEP = 256, 320, 64
+#: Entries of all classes together, where there are many.
+ALL_ENTRIES = 4096
 #: Nodes that one task joins at a time, and offers for a node that it passes on.
 BUCKET, OFFERS = 2048, 10
 #: Random orders in which consecutive nodes are the first neighbours.
@@ -33,15 +37,14 @@ _OFFER = "id long, ids binary, sims binary"
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """vec_id and embedding of the vectors that take part.
+    """vec_id and embedding of the rows that take part; rows that share an id all do.
 
-    Null ids, null or zero vectors, vectors with a null or non-finite component, and vectors of
-    another length than most take no part. Of rows with the same id the smallest vector counts.
+    Null ids, null or zero vectors, vectors with a null or non-finite component, and vectors with
+    another number of components than most take no part.
     """
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = (embeddings.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(~bad)
-            .where(F.exists("embedding", lambda x: x != 0))
-            .groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
+            .where(F.exists("embedding", lambda x: x != 0)).select("vec_id", "embedding"))
     size = good.groupBy(F.size("embedding").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
     return good.where(F.size("embedding") == (size[0][0] if size else 0))
 
@@ -86,17 +89,17 @@ def _offers(target, other, sim, most=OFFERS) -> pa.Table:
 
 
 def _block_offers(batches, width: int):
-    """Offers among consecutive nodes."""
+    """Offers among consecutive nodes of the same class."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        ids = batch.column(0).to_numpy()
-        x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float16).reshape(len(ids), width).astype(np.float32)
+        ids, level = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(len(ids), width)
         parts = []
         for start in range(0, len(ids), BLOCK):
             part = slice(max(0, min(start, len(ids) - BLOCK)), start + BLOCK)
             sims = x[part] @ x[part].T
-            a, b = np.nonzero(~np.eye(len(sims), dtype=bool))
+            a, b = np.nonzero((level[part][:, None] == level[part]) & ~np.eye(len(sims), dtype=bool))
             parts.append((ids[part][a], ids[part][b], sims[a, b]))
         yield from _offers(*map(np.concatenate, zip(*parts)), most=DEGREE).to_batches()
 
@@ -107,7 +110,7 @@ def _join_offers(table: pa.Table, width: int) -> pa.Table:
     order = np.lexsort((v, u))
     fresh, worst = table["fresh"].to_numpy(zero_copy_only=False)[order], table["worst"].to_numpy()[order]
     u, v = u[order], v[order]
-    x = np.frombuffer(b"".join(table["vec"].to_pylist()), np.float16).reshape(len(u), width)[order].astype(np.float32)
+    x = np.frombuffer(b"".join(table["vec"].to_pylist()), np.float32).reshape(len(u), width)[order]
     same = np.zeros(len(u), bool)
     same[1:] = (u[1:] == u[:-1]) & (v[1:] == v[:-1])
     starts = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
@@ -148,23 +151,38 @@ def _merged(state: DataFrame, offers: DataFrame, n: int, degree: int) -> DataFra
         lambda table: _merge(table, degree), _STATE))
 
 
+def _lot(u, v) -> np.ndarray:
+    """A fixed pseudo-random number for each edge."""
+    x = u.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + v.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(27))) >> np.uint64(1)).astype(np.int64)
+
+
 def _edges(state: DataFrame, degree: int) -> DataFrame:
     """u, v, fresh: v is a neighbour of u, or u one of v's; at most ``degree`` of the latter for a node, new ones first.
 
-    Also, whether anything is new around u.
+    Each batch sends no more than that for a node, so a node to which very many point is not
+    sorted whole in one task.
     """
     def explode(batches):
         for batch in batches:
             table = pa.table({"ids": batch.column(1), "fresh": batch.column(2)})
             row, other, fresh = _flat(table, {"ids": "i8", "fresh": "u1"})
-            ids = batch.column(0).to_numpy()[row]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((ids, other))), pa.array(np.concatenate((other, ids))),
-                                              pa.array(np.concatenate((fresh, fresh)) == 1),
-                                              pa.array(np.repeat([False, True], len(ids)))], ["u", "v", "fresh", "back"])
-
-    edges = state.select("id", "ids", "fresh").mapInArrow(explode, "u long, v long, fresh boolean, back boolean")
-    turn = Window.partitionBy("u", "back").orderBy(F.desc("fresh"), F.xxhash64("u", "v"))
-    return edges.withColumn("turn", F.row_number().over(turn)).where(~F.col("back") | (F.col("turn") <= degree)).drop("turn", "back")
+            ids, lot = batch.column(0).to_numpy()[row], _lot(batch.column(0).to_numpy()[row], other)
+            order = np.lexsort((ids, lot, fresh == 0, other))
+            new = np.ones(len(order), bool)
+            new[1:] = other[order][1:] != other[order][:-1]
+            starts = np.flatnonzero(new)
+            rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+            back = order[rank < degree]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate((ids, other[back]))), pa.array(np.concatenate((other, ids[back]))),
+                pa.array(np.concatenate((fresh, fresh[back])) == 1), pa.array(np.concatenate((lot, lot[back]))),
+                pa.array(np.repeat([False, True], [len(ids), len(back)]))], ["u", "v", "fresh", "lot", "back"])
+
+    edges = state.select("id", "ids", "fresh").mapInArrow(explode, "u long, v long, fresh boolean, lot long, back boolean")
+    turn = Window.partitionBy("u", "back").orderBy(F.desc("fresh"), "lot", "v")
+    return edges.withColumn("turn", F.row_number().over(turn)).where(~F.col("back") | (F.col("turn") <= degree)).drop("turn", "lot", "back")
 
 
 def _with_vectors(edges: DataFrame, state: DataFrame, degree: int) -> DataFrame:
@@ -181,7 +199,8 @@ def _with_vectors(edges: DataFrame, state: DataFrame, degree: int) -> DataFrame:
 def build_graph(nodes: DataFrame, width: int, n: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """The neighbours of each node, by NN-descent: id, vec, ids, sims, fresh (binary arrays, best first).
 
-    Nodes (id, vec) start with neighbours from random orders. In each round all nodes around a
+    Nodes (id, vec, level) start with neighbours of their class (level) from random orders, and
+    so meet no others. In each round all nodes around a
     node, in either direction, meet and offer themselves to each other, unless both were there
     before. Rounds end when few neighbours are new.
     """
@@ -191,14 +210,14 @@ def build_graph(nodes: DataFrame, width: int, n: int, degree: int = DEGREE, roun
     for t in range(TABLES):
         def keyed(batches, at=planes[t]):
             for batch in batches:
-                x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float16).reshape(-1, width).astype(np.float32)
+                x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(-1, width)
                 y = x @ at.T
                 code = (y[:, :PLANES] > 0) @ (1 << np.arange(PLANES)) + 1 / (1 + np.exp(-y[:, PLANES].astype(np.float64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code)], ["id", "vec", "code"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(3)], pa.array(code)], ["id", "vec", "level", "code"])
 
-        rows = state.select("id", "vec").mapInArrow(keyed, "id long, vec binary, code double")
-        rows = rows.repartitionByRange(max(1, -(-n // BUCKET)), "code", "id").sortWithinPartitions("code", "id")
-        found = rows.select("id", "vec").mapInArrow(lambda batches: _block_offers(batches, width), _OFFER)
+        rows = nodes.select("id", "vec", "level").mapInArrow(keyed, "id long, vec binary, level int, code double")
+        rows = rows.repartitionByRange(max(1, -(-n // BUCKET)), "level", "code", "id").sortWithinPartitions("level", "code", "id")
+        found = rows.select("id", "vec", "level").mapInArrow(lambda batches: _block_offers(batches, width), _OFFER)
         offers = found if offers is None else offers.unionByName(found)
     state = _merged(state, offers, n, degree)
     for _ in range(rounds):
@@ -236,19 +255,24 @@ def _frontier(ids, seen, step):
     return np.flatnonzero(seen == 0)[:step]
 
 
-def _walk(queries: DataFrame, graph: str, entries: tuple[np.ndarray, np.ndarray], width: int, n: int, beam: int, step: int) -> DataFrame:
-    """The beam of each query (id, vec): id, ids, sims. ``graph`` names the table of neighbours, bucketed by id."""
-    spark = queries.sparkSession
+def _walk(seeds: DataFrame, graph: str, entries: dict[int, tuple[np.ndarray, np.ndarray]], width: int, n: int, beam: int, step: int) -> DataFrame:
+    """The beam of each seed (id, vec, own, level): id, ids, sims.
+
+    A seed is a query in one class (level), with its own node if it is of that class, else -1.
+    ``graph`` names the table of neighbours, bucketed by id.
+    """
+    spark = seeds.sparkSession
     shared = spark.sparkContext.broadcast(entries)
 
     def begin(batches):
-        ids, vecs = shared.value
         for batch in batches:
             out = []
-            for own, vec in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                q = np.frombuffer(vec, np.float16).astype(np.float32)
-                at = np.concatenate((ids, [own]))
-                sims = np.concatenate((vecs @ _asked(q), [_asked(q) @ q])).astype(np.float32)
+            for vec, own, level in zip(*[batch.column(k).to_pylist() for k in range(1, 4)]):
+                at, vecs = shared.value[level]
+                q = np.frombuffer(vec, np.float32)
+                sims = vecs @ _asked(q)
+                if own >= 0:
+                    at, sims = np.append(at, own), np.append(sims, np.float32(_asked(q) @ q))
                 _, at, sims, _ = _best(np.zeros(len(at), np.int64), at, sims, np.zeros(len(at), bool), beam)
                 out.append((at.tobytes(), sims.tobytes(), bytes(len(at))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array([x[k] for x in out], pa.binary()) for k in range(3)]],
@@ -271,7 +295,7 @@ def _walk(queries: DataFrame, graph: str, entries: tuple[np.ndarray, np.ndarray]
         for batch in batches:
             out = []
             for vec, worst, ids, vecs in zip(*[batch.column(k).to_pylist() for k in range(1, 5)]):
-                sims = np.frombuffer(vecs, np.float16).reshape(-1, width).astype(np.float32) @ _asked(np.frombuffer(vec, np.float16).astype(np.float32))
+                sims = np.frombuffer(vecs, np.float32).reshape(-1, width) @ _asked(np.frombuffer(vec, np.float32))
                 better = sims > worst
                 out.append((np.frombuffer(ids, "i8")[better].tobytes(), sims[better].tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([x[k] for x in out], pa.binary()) for k in range(2)]], ["id", "ids", "sims"])
@@ -294,7 +318,7 @@ def _walk(queries: DataFrame, graph: str, entries: tuple[np.ndarray, np.ndarray]
         return pa.table({"id": own["id"], "vec": own["vec"].cast(pa.binary()),
                          **{c: pa.array([m[k] for m in merged], pa.binary()) for k, c in enumerate(("ids", "sims", "fresh"))}})
 
-    state = written(queries.select("id", "vec").mapInArrow(begin, _STATE))
+    state = written(seeds.select("id", "vec", "own", "level").mapInArrow(begin, _STATE))
     done = None
     while True:
         unseen = F.hex("fresh").rlike("^(..)*00")
@@ -318,64 +342,108 @@ def _asked(q: np.ndarray) -> np.ndarray:
     return q
 
 
+def _length(x: np.ndarray) -> np.ndarray:
+    """The binary logarithm of the length of each row; no square overflows or vanishes."""
+    most = np.abs(x).max(1)
+    return np.log2(most) + np.log2(np.sqrt(((x / most[:, None]) ** 2).sum(1)))
+
+
+def _classed(reps: DataFrame, size: int) -> DataFrame:
+    """Nodes (id, vec, level): vectors at the scale of their class, with the component that evens their lengths.
+
+    The classes are a factor of four wide, and the median length is in the middle of one.
+    """
+    def lengths(batches):
+        for batch in batches:
+            x = np.array(batch.column(1).to_pylist(), np.float64).reshape(-1, size)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_length(x))], ["id", "embedding", "log"])
+
+    logs = reps.select("id", "embedding").mapInArrow(lengths, f"id long, embedding {reps.schema['embedding'].dataType.simpleString()}, log double")
+    middle = logs.agg(F.percentile_approx("log", 0.5, 1000)).first()[0]
+
+    def scaled(batches):
+        for batch in batches:
+            x, log = np.array(batch.column(1).to_pylist(), np.float64).reshape(-1, size), batch.column(2).to_numpy()
+            level = np.floor((log - middle) / 2 + 0.5).astype(np.int32)
+            x = x / np.exp2(middle / 2 + level)[:, None] / np.exp2(middle / 2 + level + 1)[:, None]
+            extra = np.sqrt(np.maximum(1 - (x * x).sum(1, keepdims=True), 0))
+            rows = np.concatenate((x, extra), 1).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(level)], ["id", "vec", "level"])
+
+    return written(logs.mapInArrow(scaled, "id long, vec binary, level int"))
+
+
 def search(embeddings: DataFrame, every: int, k: int, degree: int = DEGREE, beam: int = BEAM, step: int = STEP) -> DataFrame:
     """The ``k`` nearest vectors found for each row whose vec_id is divisible by ``every``.
 
-    Returns query_id, rank, vec_id and score, the inner product in double precision. All other
-    rows are candidates; ties go to the smaller id. Equal vectors are one node of the graph, of
-    which the k + 1 smallest ids matter. See ``usable`` for rows that take no part. Up to 256
-    different vectors are all compared.
+    Returns query_id, rank, vec_id and score, the inner product in double precision. All rows but
+    the query's own are candidates, also those that share its id; a repeated row is asked for
+    each time. Ties go to the smaller id. Equal vectors are one node of the graph, of
+    which the k + 1 smallest ids matter. See ``usable`` for rows that take no part. Classes of lengths
+    are searched one by one, those of up to 256 different vectors as a whole, unless there are
+    more than 16 classes. An empty table gives an empty result.
     """
     spark = embeddings.sparkSession
-    vectors = written(usable(embeddings.select("vec_id", "embedding")))
-    same = Window.partitionBy("embedding").orderBy("vec_id")
-    ranked = vectors.withColumn("at", F.row_number().over(same)).withColumn("id", F.first("vec_id").over(same))
-    members = written(ranked.where((F.col("at") <= k + 1) | (F.col("vec_id") % every == 0)))
-    reps = members.where("at = 1").select("id", "embedding")
-    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    n, most, size = reps.agg(F.count("*"), F.max(length), F.max(F.size("embedding"))).first()
+    rows = written(usable(embeddings).withColumn("row", F.monotonically_increasing_id()))
+    reps = written(rows.groupBy("embedding").agg(F.min("row").alias("id")))
+    n, size = reps.agg(F.count("*"), F.max(F.size("embedding"))).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width = size + 1
+    turn = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id", "row"))
+    members = written(rows.withColumn("at", turn).where(F.col("at") <= k + 1).join(reps, "embedding").select("id", "vec_id", "row"))
+    asked = written(rows.where(F.col("vec_id") % every == 0).join(reps, "embedding").select("id", "vec_id", "row"))
 
-    def prepare(batches):
-        for batch in batches:
-            x = np.array(batch.column(1).to_pylist(), np.float64).reshape(-1, size) / most
-            extra = np.sqrt(np.maximum(1 - (x * x).sum(1, keepdims=True), 0))
-            rows = np.concatenate((x, extra), 1).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], ["id", "vec"])
-
-    nodes = written(reps.mapInArrow(prepare, "id long, vec binary"))
+    nodes = _classed(reps, size)
+    levels = [r[0] for r in nodes.select("level").distinct().orderBy("level").collect()]
     name = f"llm_graph_{uuid.uuid4().hex}"
     try:
         state = build_graph(nodes, width, n, degree)
         parts = max(8, min(1024, -(-n // BUCKET)))
         _adjacency(state, n, degree).repartition(parts, "id").write.bucketBy(parts, "id").sortBy("id").saveAsTable(name)
-        first = nodes.orderBy(F.xxhash64("id"), "id").limit(ENTRIES).collect()
-        entries = (np.array([r[0] for r in first], np.int64), np.array([np.frombuffer(r[1], np.float16) for r in first], np.float32))
-        asked = members.where(F.col("vec_id") % every == 0)
-        found = written(_walk(nodes.join(asked.select("id").distinct(), "id"), name, entries, width, n, beam, step))
+        turn = F.row_number().over(Window.partitionBy("level").orderBy(F.xxhash64("id"), "id"))
+        first = nodes.withColumn("at", turn).where(F.col("at") <= min(ENTRIES, max(4, ALL_ENTRIES // len(levels)))).collect()
+        entries = {level: (np.array([r["id"] for r in first if r["level"] == level], np.int64),
+                           np.array([np.frombuffer(r["vec"], np.float32) for r in first if r["level"] == level])) for level in levels}
+        seeds = (nodes.join(asked.select(F.col("id").alias("node")).distinct(), F.col("id") == F.col("node")).select(
+            "node", "vec", F.col("level").alias("home"), F.explode(F.array(*map(F.lit, levels))).alias("level"))
+            .withColumn("own", F.when(F.col("home") == F.col("level"), F.col("node")).otherwise(-1).cast("long"))
+            .withColumn("id", F.monotonically_increasing_id()))
+        seeds = written(seeds)
+        found = _walk(seeds, name, entries, width, n * len(levels), beam, step)
+        found = written(found.join(seeds.select("id", "node"), "id").select(F.col("node").alias("id"), "ids", "sims"))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return _exact(found, reps, members, asked, k)
+    return _exact(found, reps, members, asked, k, width)
+
+
+def _exact(found: DataFrame, reps: DataFrame, members: DataFrame, asked: DataFrame, k: int, width: int) -> DataFrame:
+    """Exact scores of the best nodes of each beam, and the rows behind them.
 
+    All nodes of a beam have an exact score but those whose rounded score is so low that they
+    can't be among the best k + 1.
+    """
+    margin = 4 * width * np.finfo(np.float32).eps
 
-def _exact(found: DataFrame, reps: DataFrame, members: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """Exact scores of the best nodes of each beam, and the rows behind them."""
     def best(batches):
         for batch in batches:
-            ids = [np.frombuffer(x, "i8")[:3 * k + 1] for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in ids])),
-                                              pa.array(np.concatenate([np.empty(0, np.int64), *ids]))], ["query", "node"])
+            out = []
+            for ids, sims in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                ids, sims = np.frombuffer(ids, "i8"), np.frombuffer(sims, "f4")
+                out.append(ids[sims >= sims[min(k, len(sims) - 1)] - margin])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in out])),
+                                              pa.array(np.concatenate([np.empty(0, np.int64), *out]))], ["query", "node"])
 
-    pairs = found.select("id", "ids").mapInArrow(best, "query long, node long")
+    pairs = found.select("id", "ids", "sims").mapInArrow(best, "query long, node long")
     dot = F.aggregate(F.zip_with("q", "x", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, y: s + y)
-    scored = (pairs.join(reps.toDF("query", "q"), "query").join(reps.toDF("node", "x"), "node")
+    scored = (pairs.join(reps.select(F.col("id").alias("query"), F.col("embedding").alias("q")), "query")
+              .join(reps.select(F.col("id").alias("node"), F.col("embedding").alias("x")), "node")
               .select("query", "node", dot.alias("score")))
-    rows = (scored.join(members.where(F.col("at") <= k + 1).select(F.col("id").alias("node"), "vec_id"), "node"))
-    turn = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
-    lists = rows.withColumn("turn", turn).where(F.col("turn") <= k + 1).select("query", "vec_id", "score", "turn")
-    out = (asked.select(F.col("id").alias("query"), F.col("vec_id").alias("query_id")).join(lists, "query")
-           .where("vec_id <> query_id"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("turn"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rows = scored.join(members.withColumnRenamed("id", "node"), "node")
+    turn = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row"))
+    lists = (rows.withColumn("turn", turn).where(F.col("turn") <= k + 1).groupBy("query")
+             .agg(F.sort_array(F.collect_list(F.struct("turn", "vec_id", "score", "row"))).alias("list")))
+    out = asked.select(F.col("id").alias("query"), F.col("vec_id").alias("query_id"), F.col("row").alias("mine")).join(lists, "query")
+    others = F.slice(F.filter("list", lambda x: x["row"] != F.col("mine")), 1, k)
+    return (out.select("query_id", F.posexplode(others).alias("place", "other"))
+            .select("query_id", (F.col("place") + 1).alias("rank"), F.col("other.vec_id").alias("vec_id"), F.col("other.score").alias("score")))

@@ -541,6 +541,35 @@ def test_neighbours_recall_and_odd_vectors(spark):
     assert hits >= 0.9 * 20 * len(got)
 
 
+def test_neighbours_of_lengths_far_apart(spark):
+    """A few vectors far longer or shorter than the others, of any size a double has, cost no recall."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((6000, 48))
+    x[3000:3400] *= 40
+    x[17] *= 1e4
+    x[4020] *= 1e9
+    x[5001] *= 1e-7
+    x[5040] *= 1e120
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in neighbours.search(table, every=100, k=20).collect():
+        got[r["query_id"]].append(r["vec_id"])
+    scores = x[::100] @ x.T
+    hits = []
+    for q, row in zip(range(0, 6000, 100), scores):
+        row[q] = -np.inf
+        hits.append(len(set(np.argsort(-row)[:20].tolist()) & set(got[q])))
+    assert sum(hits) >= 0.9 * 20 * len(hits) and min(hits) >= 14
+
+
+def test_neighbours_of_repeated_ids(spark):
+    """Rows that share an id are rows of their own, as queries and as candidates."""
+    rows = [(20, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [0.0, 1.0]), (7, [2.0, 0.0]), (7, [0.5, 3.0]), (9, [0.0, 0.5])]
+    table = spark.createDataFrame([(*r, "x", 3.0) for r in rows], "vec_id long, embedding array<float>, row string, score double")
+    got = Counter((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.search(table, 20, 3).collect())
+    assert got == Counter([(20, 1, 7, 2.0), (20, 2, 20, 1.0), (20, 3, 7, 0.5)] * 2 + [(20, 1, 7, 3.0), (20, 2, 9, 0.5), (20, 3, 7, 0.0)])
+
+
 def test_neighbours_of_few_vectors(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (20, [0.5, 0.5]), (7, [0.0, 1.0])], "vec_id long, embedding array<float>")
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search(table, 20, 20).orderBy("query_id", "rank").collect()]
