@@ -27,8 +27,8 @@ SETTLED = 0.02
 ENTRIES, BEAM, STEP = 256, 320, 64
 #: Entries of all classes together, where there are many.
 ALL_ENTRIES = 4096
-#: Nodes that one task joins at a time, and offers for a node that it passes on.
-BUCKET, OFFERS = 2048, 10
+#: Nodes that one task joins at a time, offers for a node that it passes on, and vectors in a row of the finished graph.
+BUCKET, OFFERS, CHUNK = 1024, 10, 8
 #: Random orders in which consecutive nodes are the first neighbours.
 TABLES, BLOCK, PLANES = 4, 24, 14
 
@@ -53,6 +53,16 @@ def _rows(column, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in column.to_pylist()]
 
 
+def _matrix(column, width: int) -> np.ndarray:
+    """The vectors of a binary column without nulls, not copied if they are in one piece."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column):
+        return np.empty((0, width), np.float32)
+    _, starts, data = column.buffers()
+    return np.frombuffer(data, np.float32, len(column) * width, int(np.frombuffer(starts, "i4")[column.offset])).reshape(-1, width)
+
+
 def _flat(table: pa.Table, names: dict[str, str]) -> tuple[np.ndarray, ...]:
     """The row of each entry of binary columns, and their entries one after the other."""
     lists = {c: _rows(table[c], kind) for c, kind in names.items()}
@@ -94,7 +104,7 @@ def _block_offers(batches, width: int):
         if not batch.num_rows:
             continue
         ids, level = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-        x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(len(ids), width)
+        x = _matrix(batch.column(1), width)
         parts = []
         for start in range(0, len(ids), BLOCK):
             part = slice(max(0, min(start, len(ids) - BLOCK)), start + BLOCK)
@@ -110,7 +120,7 @@ def _join_offers(table: pa.Table, width: int) -> pa.Table:
     order = np.lexsort((v, u))
     fresh, worst = table["fresh"].to_numpy(zero_copy_only=False)[order], table["worst"].to_numpy()[order]
     u, v = u[order], v[order]
-    x = np.frombuffer(b"".join(table["vec"].to_pylist()), np.float32).reshape(len(u), width)[order]
+    x = _matrix(table["vec"], width)[order]
     same = np.zeros(len(u), bool)
     same[1:] = (u[1:] == u[:-1]) & (v[1:] == v[:-1])
     starts = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
@@ -210,7 +220,7 @@ def build_graph(nodes: DataFrame, width: int, n: int, degree: int = DEGREE, roun
     for t in range(TABLES):
         def keyed(batches, at=planes[t]):
             for batch in batches:
-                x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(-1, width)
+                x = _matrix(batch.column(1), width)
                 y = x @ at.T
                 code = (y[:, :PLANES] > 0) @ (1 << np.arange(PLANES)) + 1 / (1 + np.exp(-y[:, PLANES].astype(np.float64)))
                 yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(3)], pa.array(code)], ["id", "vec", "level", "code"])
@@ -233,18 +243,19 @@ def build_graph(nodes: DataFrame, width: int, n: int, degree: int = DEGREE, roun
     return state
 
 
-def _adjacency(state: DataFrame, n: int, degree: int) -> DataFrame:
-    """id, ids and vecs: the neighbours of a node in both directions, with their vectors."""
+def _adjacency(state: DataFrame, width: int, n: int, degree: int) -> DataFrame:
+    """id, ids and vecs: the neighbours of a node in both directions, with their vectors, in rows of at most ``CHUNK``."""
     def gather(table: pa.Table) -> pa.Table:
         u, v = table["u"].to_numpy(), table["v"].to_numpy()
         order = np.lexsort((v, u))
         order = order[np.concatenate(([True], (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])))]
-        vecs = table["vec"].to_pylist()
-        u = u[order]
-        starts = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1]))).tolist()
-        runs = [order[s:e] for s, e in zip(starts, [*starts[1:], len(u)])]
-        return pa.table({"id": u[starts], "ids": pa.array([v[r].tobytes() for r in runs], pa.binary()),
-                         "vecs": pa.array([b"".join([vecs[i] for i in r.tolist()]) for r in runs], pa.binary())})
+        x, u, v = _matrix(table["vec"], width)[order], u[order], v[order]
+        starts = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
+        rank = np.arange(len(u)) - np.repeat(starts, np.diff(np.append(starts, len(u))))
+        starts = np.flatnonzero(rank % CHUNK == 0)
+        parts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(u)]))
+        return pa.table({"id": u[starts], "ids": pa.array([v[s:e].tobytes() for s, e in parts], pa.binary()),
+                         "vecs": pa.array([x[s:e].tobytes() for s, e in parts], pa.binary())})
 
     rows = _bucketed(_with_vectors(_edges(state, degree), state, degree), "u", n)
     return rows.groupBy("bucket").applyInArrow(gather, "id long, ids binary, vecs binary")
@@ -331,7 +342,7 @@ def _walk(seeds: DataFrame, graph: str, entries: dict[int, tuple[np.ndarray, np.
         near = asked.join(spark.table(graph), F.col("node") == F.col("id")).select("query", "vec", "worst", "ids", "vecs")
         offers = near.mapInArrow(score, _OFFER).where(F.octet_length("ids") > 0)
         both = state.unionByName(offers, allowMissingColumns=True)
-        state = written(_bucketed(both, "id", n // 8).groupBy("bucket").applyInArrow(merge, _STATE))
+        state = written(_bucketed(both, "id", n // 4).groupBy("bucket").applyInArrow(merge, _STATE))
         cleared(spark)
 
 
@@ -349,9 +360,10 @@ def _length(x: np.ndarray) -> np.ndarray:
 
 
 def _classed(reps: DataFrame, size: int) -> DataFrame:
-    """Nodes (id, vec, level): vectors at the scale of their class, with the component that evens their lengths.
+    """Nodes (id, vec, level): vectors divided by the longest of their class, with the component that evens their lengths.
 
-    The classes are a factor of four wide, and the median length is in the middle of one.
+    The classes are a factor of four wide, and the median length is in the middle of one. With a
+    scale far above the lengths, near points would have small distances, not large products.
     """
     def lengths(batches):
         for batch in batches:
@@ -360,15 +372,17 @@ def _classed(reps: DataFrame, size: int) -> DataFrame:
 
     logs = reps.select("id", "embedding").mapInArrow(lengths, f"id long, embedding {reps.schema['embedding'].dataType.simpleString()}, log double")
     middle = logs.agg(F.percentile_approx("log", 0.5, 1000)).first()[0]
+    logs = logs.withColumn("level", F.floor((F.col("log") - middle) / 2 + 0.5).cast("int"))
+    longest = dict(logs.groupBy("level").agg(F.max("log")).collect())
 
     def scaled(batches):
         for batch in batches:
-            x, log = np.array(batch.column(1).to_pylist(), np.float64).reshape(-1, size), batch.column(2).to_numpy()
-            level = np.floor((log - middle) / 2 + 0.5).astype(np.int32)
-            x = x / np.exp2(middle / 2 + level)[:, None] / np.exp2(middle / 2 + level + 1)[:, None]
+            x = np.array(batch.column(1).to_pylist(), np.float64).reshape(-1, size)
+            half = np.exp2(np.array([longest[c] / 2 for c in batch.column(3).to_pylist()]))[:, None]
+            x = x / half / half
             extra = np.sqrt(np.maximum(1 - (x * x).sum(1, keepdims=True), 0))
             rows = np.concatenate((x, extra), 1).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(level)], ["id", "vec", "level"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(3)], ["id", "vec", "level"])
 
     return written(logs.mapInArrow(scaled, "id long, vec binary, level int"))
 
@@ -400,7 +414,7 @@ def search(embeddings: DataFrame, every: int, k: int, degree: int = DEGREE, beam
     try:
         state = build_graph(nodes, width, n, degree)
         parts = max(8, min(1024, -(-n // BUCKET)))
-        _adjacency(state, n, degree).repartition(parts, "id").write.bucketBy(parts, "id").sortBy("id").saveAsTable(name)
+        _adjacency(state, width, n, degree).repartition(parts, "id").write.bucketBy(parts, "id").sortBy("id").saveAsTable(name)
         turn = F.row_number().over(Window.partitionBy("level").orderBy(F.xxhash64("id"), "id"))
         first = nodes.withColumn("at", turn).where(F.col("at") <= min(ENTRIES, max(4, ALL_ENTRIES // len(levels)))).collect()
         entries = {level: (np.array([r["id"] for r in first if r["level"] == level], np.int64),
