@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 
 from spanveil.llm.text import cleared, written
 
-#: Neighbours that a node keeps while the graph is built; the search also uses as many that point to it.
-DEGREE = 20
+#: Neighbours that a node keeps while the graph is built, and for each of them the nodes that point to it in the search.
+DEGREE, BACK = 20, 3
 ROUNDS = 10
 #: Rounds end when a smaller share of all neighbours is new.
 SETTLED = 0.02
 #: Nodes from which each query starts besides its own, the nodes it remembers, and those it follows in a round.
-ENTRIES, BEAM, STEP = 256, 320, 64
+ENTRIES, BEAM, STEP = 256, 512, 96
 #: Entries of all classes together, where there are many.
 ALL_ENTRIES = 4096
 #: Nodes that one task joins at a time, offers for a node that it passes on, and vectors in a row of the finished graph.
@@ -168,8 +168,8 @@ def _lot(u, v) -> np.ndarray:
     return ((x ^ (x >> np.uint64(27))) >> np.uint64(1)).astype(np.int64)
 
 
-def _edges(state: DataFrame, degree: int) -> DataFrame:
-    """u, v, fresh: v is a neighbour of u, or u one of v's; at most ``degree`` of the latter for a node, new ones first.
+def _edges(state: DataFrame, most: int) -> DataFrame:
+    """u, v, fresh: v is a neighbour of u, or u one of v's; at most ``most`` of the latter for a node, new ones first.
 
     Each batch sends no more than that for a node, so a node to which very many point is not
     sorted whole in one task.
@@ -184,7 +184,7 @@ def _edges(state: DataFrame, degree: int) -> DataFrame:
             new[1:] = other[order][1:] != other[order][:-1]
             starts = np.flatnonzero(new)
             rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-            back = order[rank < degree]
+            back = order[rank < most]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate((ids, other[back]))), pa.array(np.concatenate((other, ids[back]))),
                 pa.array(np.concatenate((fresh, fresh[back])) == 1), pa.array(np.concatenate((lot, lot[back]))),
@@ -192,7 +192,7 @@ def _edges(state: DataFrame, degree: int) -> DataFrame:
 
     edges = state.select("id", "ids", "fresh").mapInArrow(explode, "u long, v long, fresh boolean, lot long, back boolean")
     turn = Window.partitionBy("u", "back").orderBy(F.desc("fresh"), "lot", "v")
-    return edges.withColumn("turn", F.row_number().over(turn)).where(~F.col("back") | (F.col("turn") <= degree)).drop("turn", "lot", "back")
+    return edges.withColumn("turn", F.row_number().over(turn)).where(~F.col("back") | (F.col("turn") <= most)).drop("turn", "lot", "back")
 
 
 def _with_vectors(edges: DataFrame, state: DataFrame, degree: int) -> DataFrame:
@@ -257,7 +257,7 @@ def _adjacency(state: DataFrame, width: int, n: int, degree: int) -> DataFrame:
         return pa.table({"id": u[starts], "ids": pa.array([v[s:e].tobytes() for s, e in parts], pa.binary()),
                          "vecs": pa.array([x[s:e].tobytes() for s, e in parts], pa.binary())})
 
-    rows = _bucketed(_with_vectors(_edges(state, degree), state, degree), "u", n)
+    rows = _bucketed(_with_vectors(_edges(state, BACK * degree), state, degree), "u", n)
     return rows.groupBy("bucket").applyInArrow(gather, "id long, ids binary, vecs binary")
 
 
