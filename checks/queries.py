@@ -14,6 +14,7 @@ from spanveil.functions.masking import mask_text
 from spanveil.functions.model import model_column
 from spanveil.functions.names import mask_listed_names
 from spanveil.functions.nested import mask_json_text
+from spanveil.functions.tagger import learn_names
 from spanveil.operators.compare import raw_vs_redacted, unredacted_rows
 from spanveil.operators.layout import cluster
 from spanveil.operators.quality import coverage, leak_scan, recall
@@ -355,6 +356,17 @@ def recall_by_category(spark, folder):
     return recall(truth, masked, "note_id", "text")
 
 
+def names_without_cues(spark, folder):
+    """Names that the tagger, learned from the notes, finds in the notes without their cue words."""
+    notes = _notes(spark, folder)
+    bare = notes.withColumn("bare", F.regexp_replace("text", r"\b(?:customer|for|Dr\.) (?=\p{Lu})", ""))
+    masked = bare.select("note_id", model_column(F.col("bare"), learn_names(notes, "text")).alias("text"))
+    truth = bare.select("note_id", "bare", F.inline(F.array(*(F.struct(
+        F.lit(k).alias("category"), F.col(k).alias("value"), F.lit(k == "name").alias("sensitive"))
+        for k in ("name", "address", "email", "account", "employee"))))).where(F.contains("bare", "value")).drop("bare")
+    return recall(truth, masked, "note_id", "text")
+
+
 # --- sources, streams, layout
 
 def _conversation_records(spark, folder):
@@ -535,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "coverage": coverage_by_day,
     "leak_scan": leaks,
     "recall_by_category": recall_by_category,
+    "names_without_cues": names_without_cues,
     "prompt_spans": prompt_spans,
     "prompt_lines": prompt_lines,
     "stream_incremental": stream_incremental,
