@@ -323,6 +323,10 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(event_id AS VARCHAR) AS span_id, "
         + _attributes(_USER, "'[IP_ADDRESS]'", "'[EMAIL]'", "'[PHONE]'", _EMPLOYEE)
         + " AS attributes FROM events"),
+    "allowlisted_paths": (
+        "SELECT CAST(event_id AS VARCHAR) AS span_id, "
+        + _attributes(_USER, _CLIENT, "'[EMAIL]'", "'[PHONE]'", _EMPLOYEE)
+        + " AS attributes FROM events"),
     "mask_events": f"SELECT CAST(event_id AS VARCHAR) AS span_id, {_MASKED_EVENTS} AS events FROM events",
     "mask_events_cast": (
         "SELECT CAST(event_id AS VARCHAR) AS span_id, CASE event_id % 3 WHEN 1 THEN '[]' WHEN 2 THEN "

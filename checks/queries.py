@@ -137,6 +137,11 @@ def leaf_mask_attributes(spark, folder):
     return redact_spans(_spans(spark, folder), EVERYTHING).select("span_id", "attributes")
 
 
+def allowlisted_paths(spark, folder):
+    policy = Policy(CATEGORIES, allowlisted_paths=('"app.user"', "nested.client", "nested.none[*].x"))
+    return redact_spans(_spans(spark, folder), policy).select("span_id", "attributes")
+
+
 def allowlisted_keys(spark, folder):
     policy = Policy(CATEGORIES, allowlisted_keys=("app.user", "service.name"))
     return redact_spans(_spans(spark, folder), policy).select("span_id", "attributes")
@@ -522,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "masked_by_model": masked_by_model,
     "leaf_mask_attributes": leaf_mask_attributes,
     "allowlisted_keys": allowlisted_keys,
+    "allowlisted_paths": allowlisted_paths,
     "mask_events": mask_events,
     "mask_events_cast": mask_events_cast,
     "mask_resource": mask_resource,

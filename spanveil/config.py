@@ -20,6 +20,12 @@ DEFAULT_FIELDS = {
     "annotations": (),
 }
 
+class _Each:
+    """The step of a path into every item of an array; no key is equal to it."""
+
+
+EACH = _Each()
+_STEP = re.compile(r'\.?(?:"((?:[^"\\]|\\.)*)"|([^.\[\]"]+))|\[\*\]')
 _IDENTIFIER = re.compile(r"[A-Za-z0-9_]+", re.ASCII)
 _SAFE_MASK_CHARACTERS = frozenset("*#~^=|!&;") | frozenset(
     "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
@@ -72,6 +78,22 @@ def _matches_nothing(pattern: str) -> bool:
         return False
 
 
+def path_steps(path: str) -> tuple[str | _Each, ...]:
+    """The steps of a path from the root of a document: keys, and ``EACH`` for every item of an array.
+
+    Keys with dots, brackets or quotes stand in double quotes, with a backslash before a quote or backslash.
+    """
+    steps, at = [], 0
+    while not steps or at < len(path):
+        step = _STEP.match(path, at)
+        if not step or path.startswith(".", at) != (bool(steps) and not path.startswith("[", at)):
+            raise ValueError(f"{path!r} is no path such as a.b[*].c; quote keys that hold dots, brackets or quotes")
+        quoted, plain = step.groups()
+        steps.append(re.sub(r"\\(.)", r"\1", quoted) if quoted is not None else plain if plain is not None else EACH)
+        at = step.end()
+    return tuple(steps)
+
+
 @dataclass(frozen=True)
 class Policy:
     """What counts as personal data and what replaces it."""
@@ -82,12 +104,16 @@ class Policy:
     mask_character: str | None = None
     salt: str | None = None
     allowlisted_keys: tuple[str, ...] = ()
+    allowlisted_paths: tuple[str, ...] = ()  # such as user.id, items[*].sku or "a.key with dots".b
     events_as: str = "json"
     model: Callable | None = None  # returns a function from pandas.Series to pandas.Series
 
     def __post_init__(self):
         object.__setattr__(self, "categories", _known(self.categories))
         object.__setattr__(self, "allowlisted_keys", tuple(self.allowlisted_keys))
+        object.__setattr__(self, "allowlisted_paths", tuple(self.allowlisted_paths))
+        for path in self.allowlisted_paths:
+            path_steps(path)
         for name, pattern in self.custom_patterns.items():
             identifier("custom pattern name", name)
             if not pattern:

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import Policy
+from ..config import EACH, Policy, path_steps
 from .detectors import detectors
 from .masking import any_hit, bind, mask_text, replace_each
 
@@ -35,7 +35,7 @@ def _mask_literals(json: Column, policy: Policy) -> Column:
 
 
 def _mask_value(value: Column, policy: Policy) -> Column:
-    """Mask one variant that is not an object with allow-listed keys."""
+    """Mask one variant in which nothing is allow-listed."""
     kind = F.schema_of_variant(value)
     return (F.when(kind == "STRING",
                    bind(value.cast("string"), lambda t: mask_text(t, policy)).cast("variant"))
@@ -44,21 +44,55 @@ def _mask_value(value: Column, policy: Policy) -> Column:
             .otherwise(value))
 
 
-def mask_variant(value: Column, policy: Policy) -> Column:
-    """Mask the string values of a variant; the result is a variant."""
-    entries = F.try_variant_get(value, "$", "map<string,variant>")
+def _allowed(policy: Policy) -> dict:
+    """Allow-listed paths as a tree of steps; None stands for a value that stays whole."""
+    tree = {}
+    for steps in (*((key,) for key in policy.allowlisted_keys), *map(path_steps, policy.allowlisted_paths)):
+        node = tree
+        for step in steps[:-1]:
+            node = node.setdefault(step, {})
+            if node is None:
+                break  # a shorter path keeps all of it
+        else:
+            node[steps[-1]] = None
+    return tree
 
-    def change(key: Column, item: Column) -> Column:
-        masked = _mask_value(item, policy)
-        if policy.allowlisted_keys:
-            return F.when(key.isin(list(policy.allowlisted_keys)), item).otherwise(masked)
+
+def _mask_below(value: Column, policy: Policy, kept: dict | None) -> Column:
+    """Mask the string values of a variant except at the paths in ``kept``."""
+    if kept is None:
+        return value
+    masked = _mask_value(value, policy)
+    if not kept:
         return masked
+    kind = F.schema_of_variant(value)
+    whole = [key for key, below in kept.items() if key is not EACH and below is None]
+    parts = {key: below for key, below in kept.items() if key is not EACH and below is not None}
 
-    if not policy.allowlisted_keys:
-        return _mask_value(value, policy)
-    return F.when(F.schema_of_variant(value).startswith("OBJECT"),
-                  F.to_variant_object(F.transform_values(entries, change))).otherwise(
-        _mask_value(value, policy))
+    def change(key: Column, item: Column) -> Column:
+        choice = F.when(key.isin(whole), item) if whole else F.when(F.lit(False), item)
+        for name, below in parts.items():
+            choice = choice.when(key == name, _mask_below(item, policy, below))
+        return choice.otherwise(_mask_value(item, policy))
+
+    result = F.when(value.isNull(), value)
+    if whole or parts:
+        entries = F.try_variant_get(value, "$", "map<string,variant>")
+        result = result.when(kind.startswith("OBJECT"), F.to_variant_object(F.transform_values(entries, change)))
+    if EACH in kept:
+        items = F.try_variant_get(value, "$", "array<variant>")
+        result = result.when(kind.startswith("ARRAY"), F.to_variant_object(
+            F.transform(items, lambda item: _mask_below(item, policy, kept[EACH]))))
+    return result.otherwise(masked)
+
+
+def mask_variant(value: Column, policy: Policy) -> Column:
+    """Mask the string values of a variant; the result is a variant.
+
+    Values under allow-listed keys of the root and at allow-listed paths stay. A path that meets
+    a value of another kind (a key on an array, ``[*]`` on an object) keeps nothing of it.
+    """
+    return _mask_below(value, policy, _allowed(policy))
 
 
 def needs_masking(json: Column, policy: Policy) -> Column:
@@ -76,7 +110,7 @@ def needs_masking(json: Column, policy: Policy) -> Column:
 
 def mask_variant_to_text(value: Column, text: Column, policy: Policy) -> Column:
     """Masked text of a variant; ``text`` is its plain cast. Most rows have no hit and stop there."""
-    if policy.allowlisted_keys:
+    if _allowed(policy):
         masked = mask_variant(value, policy).cast("string")
     else:
         kind = F.schema_of_variant(value)
@@ -142,6 +176,6 @@ def mask_array_to_text(value: Column, text: Column, data_type: T.DataType, polic
     """Mask the string values in an array and write it as JSON; ``text`` is its plain form."""
     if policy.events_as == "cast":
         return mask_text(text, policy)
-    masked = (F.to_json(mask_typed(value, data_type, policy)) if policy.allowlisted_keys
+    masked = (F.to_json(mask_typed(value, data_type, policy)) if _allowed(policy)
               else _mask_literals(text, policy))
     return F.when(needs_masking(text, policy), masked).otherwise(text)

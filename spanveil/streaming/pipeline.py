@@ -59,7 +59,8 @@ def _policy_mark(config: PipelineConfig) -> str:
     policy = config.policy
     model = policy.model and f"{policy.model.__module__}.{policy.model.__qualname__}"
     settings = (sorted(policy.categories), list(policy.custom_patterns.items()), policy.mode, policy.mask_character, policy.salt,
-                sorted(policy.allowlisted_keys), policy.events_as, model, sorted((k, tuple(v)) for k, v in config.fields.items()))
+                sorted(policy.allowlisted_keys), policy.events_as, model, sorted((k, tuple(v)) for k, v in config.fields.items()),
+                *([sorted(policy.allowlisted_paths)] if policy.allowlisted_paths else []))
     return f"_POLICY-{hashlib.sha256(repr(settings).encode()).hexdigest()}"
 
 

@@ -189,3 +189,32 @@ def test_view_prunes_unused_masks(spark, table, tmp_path):
     plan = view.where("date = '2024-01-02'").select("trace_id", "events")._jdf.queryExecution().executedPlan().toString()
     assert "attributes" not in plan.split("ReadSchema")[1].split("events")[0]
     assert "EqualTo(date,2024-01-02)" in plan and "resource" not in plan.split("ReadSchema")[1]
+
+
+@pytest.mark.parametrize("paths, kept", [
+    (("a.b",), {"a.b"}), (("a.list[*].c", "a"), {"a.b", "c0", "c1", "d", "deep"}), (("a.list[*].c",), {"c0", "c1"}),
+    (("a.list[*]",), {"c0", "c1", "d"}), (('"x.y"."q\\"z"',), {"xyz"}), (("plain[*]", "plain[*].c"), {"p0", "p1"}),
+    (("plain.c", "a[*]", "a.b.c", "none.at.all"), set()), (("many[*][*].e",), {"e0", "e1"}), (("a.deep.er",), {"deep"})])
+def test_only_values_at_allowed_paths_stay(spark, paths, kept):
+    def document(value):
+        return {"a": {"b": value("a.b"), "list": [{"c": value("c0"), "d": value("d")}, {"c": value("c1")}, 3, None],
+                      "deep": {"er": value("deep")}, "n": None},
+                "x.y": {'q"z': value("xyz")}, "plain": [value("p0"), value("p1"), True],
+                "many": [[{"e": value("e0")}], [{"e": value("e1"), "f": value("f")}], []], "note": value("note")}
+
+    raw = document(lambda name: f"{name.replace('.', '')}@x.com")
+    ((from_variant, from_text),) = masked(spark, [json.dumps(raw)], Policy(allowlisted_paths=paths))
+    right = document(lambda name: f"{name.replace('.', '')}@x.com" if name in kept else "[EMAIL]")
+    assert json.loads(from_variant) == json.loads(from_text) == right
+
+
+def test_paths_on_other_shapes(spark):
+    documents = ['"plain bob@x.com"', "12", "null", '["a@b.cc", 1]', "{}", "[]"]
+    results = [v for v, _ in masked(spark, documents, Policy(allowlisted_paths=("a.b", "c[*].d")))]
+    assert results == ["plain [EMAIL]", "12", None, '["[EMAIL]",1]', "{}", "[]"]
+
+
+@pytest.mark.parametrize("path", ["", ".a", "a.", "a..b", "a[0]", "a[*]b", 'a"b', '"a', "a.[*]"])
+def test_what_is_no_path(path):
+    with pytest.raises(ValueError):
+        Policy(allowlisted_paths=(path,))
