@@ -49,16 +49,24 @@ def current_version(spark: SparkSession, config: PipelineConfig) -> int | None:
     return ready[-1] if ready else None
 
 
+#: Rounds of the digest of a salt; more make each run with a salt start later.
+_SALT_ROUNDS = 300_000
+
+
 def _mark_ready(spark: SparkSession, config: PipelineConfig, version: int) -> None:
     fs, marker = file_system(spark, f"{_version_path(config, version)}/{_READY}")
     fs.create(marker, True).close()
 
 
 def _policy_mark(config: PipelineConfig) -> str:
-    """A file name that stands for the policy and the fields."""
+    """A file name that stands for the policy and the fields.
+
+    It lies beside the data, so the salt goes in by a slow digest: its guesses are as slow to test.
+    """
     policy = config.policy
+    salt = policy.salt and hashlib.pbkdf2_hmac("sha256", policy.salt.encode(), b"spanveil policy", _SALT_ROUNDS).hex()
     model = policy.model and f"{policy.model.__module__}.{policy.model.__qualname__}"
-    settings = (sorted(policy.categories), list(policy.custom_patterns.items()), policy.mode, policy.mask_character, policy.salt,
+    settings = (sorted(policy.categories), list(policy.custom_patterns.items()), policy.mode, policy.mask_character, salt,
                 sorted(policy.allowlisted_keys), policy.events_as, model, sorted((k, tuple(v)) for k, v in config.fields.items()),
                 *([sorted(policy.allowlisted_paths)] if policy.allowlisted_paths else []))
     return f"_POLICY-{hashlib.sha256(repr(settings).encode()).hexdigest()}"

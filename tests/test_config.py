@@ -1,6 +1,7 @@
 import pytest
 
 from spanveil import PipelineConfig, Policy, parse_categories, parse_retention
+from spanveil.streaming import pipeline
 
 
 def config(**changed):
@@ -48,3 +49,14 @@ def test_retention():
     for bad in ("-3", "1.5", "ten", "²"):
         with pytest.raises(ValueError):
             parse_retention(bad)
+
+
+def test_the_mark_of_a_policy_tells_salts_and_paths_apart():
+    def mark(**options):
+        return pipeline._policy_mark(config(policy=Policy(**options)))
+
+    marks = [mark(), mark(mode="hash", salt="one"), mark(mode="hash", salt="two"),
+             mark(allowlisted_paths=("a.b",)), mark(allowlisted_keys=("a.b",))]
+    assert len(set(marks)) == 5
+    assert mark(mode="hash", salt="one") == marks[1]
+    assert mark(allowlisted_paths=("a.b", "c")) == mark(allowlisted_paths=("c", "a.b"))
